@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 _text = T.StringType()
 
 POST_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", _text),
     T.StructField("id_str", _text),
     T.StructField("timestamp_ms", _text),
     T.StructField("timestamp", _text),
@@ -66,12 +66,16 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep_raw: bool = False)
         T.StructField("_corrupt_record", _text),
     ])
     parsed = F.from_json(value_col, both, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    # An id is a number in one generation and text in the other; both read as text.
+    wanted = {"id": "bigint"}
     others = [name for name in df.columns if name != value_col or keep_raw]
     enveloped = F.col("_p.data").isNotNull()
-    fields = [
-        F.when(enveloped, F.col(f"_p.data.{f.name}")).otherwise(F.col(f"_p.{f.name}")).alias(f.name)
-        for f in POST_SCHEMA.fields
-    ]
+
+    def field(name: str) -> Column:
+        value = F.when(enveloped, F.col(f"_p.data.{name}")).otherwise(F.col(f"_p.{name}"))
+        return (value.try_cast(wanted[name]) if name in wanted else value).alias(name)
+
+    fields = [field(name) for name in POST_SCHEMA.names]
     return df.withColumn("_p", parsed).select(*others, *fields, F.col("_p._corrupt_record").alias("_corrupt_record"))
 
 

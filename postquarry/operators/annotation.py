@@ -10,8 +10,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from postquarry.functions import answers as A
+from postquarry.session import small_table
 
 Domains = dict[str, list[str] | dict[str, str]]
 
@@ -120,7 +122,7 @@ def fleiss_kappa(items: DataFrame, answers: DataFrame, domains: Domains, item: s
         *[F.sum(c).alias(f"t{i}") for i, c in enumerate(cols)],
     )
     n_items = items.agg(F.countDistinct(item)).scalar().cast("double")
-    asked = answers.sparkSession.createDataFrame([(q,) for q in domains], "question STRING")
+    asked = small_table(answers.sparkSession, [(q,) for q in domains], ["question"])
     n = F.col("n_coders").cast("double")
     joined = (
         asked.join(sums, "question", "left").join(coders_per_question(answers), "question", "left")
@@ -146,26 +148,39 @@ def fleiss_kappa(items: DataFrame, answers: DataFrame, domains: Domains, item: s
     )
 
 
-def _spread(answers: DataFrame, questions: list[str]) -> DataFrame:
-    """Per item and question the lowest and the highest answer; they differ on disagreement."""
-    aggs = []
-    for i, q in enumerate(questions):
-        answer = F.when(F.col("question") == q, F.col("answer"))
-        aggs += [F.min(answer).alias(f"lo{i}"), F.max(answer).alias(f"hi{i}")]
-    return answers.groupBy("item").agg(*aggs)
+def _spread(domains: Domains) -> tuple[list[Column], Column]:
+    """Aggregates giving the lowest and highest answer per question, and "any question differs".
+
+    Answers are compared by their place in the domain: numbers aggregate in place in a
+    hash table, text would have to be sorted.
+    """
+    aggs, differs = [], []
+    for i, (question, domain) in enumerate(domains.items()):
+        place = F.array_position(F.array(*[F.lit(c) for c in domain]), F.col("answer")).cast("int")
+        here = F.when(F.col("question") == question, place)
+        aggs += [F.min(here).alias(f"lo{i}"), F.max(here).alias(f"hi{i}")]
+        differs.append(_differs(i))
+    return aggs, reduce(lambda a, b: a | b, differs)
+
+
+def _differs(i: int) -> Column:
+    return F.coalesce(F.col(f"lo{i}") != F.col(f"hi{i}"), F.lit(False))
 
 
-def agreed(answers: DataFrame, questions: list[str], per_item: bool = True) -> DataFrame:
+def agreed(answers: DataFrame, domains: Domains, per_item: bool = True) -> DataFrame:
     """Questions with exactly one answer among the coders: ``item, question, answer``.
 
     With ``per_item`` an item that disagrees on any question gives no rows at all.
     """
-    spread = _spread(answers, questions)
+    aggs, any_differs = _spread(domains)
+    spread = answers.groupBy("item").agg(*aggs)
     if per_item:
-        split = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"lo{i}") != F.col(f"hi{i}"), F.lit(False)) for i in range(len(questions))])
-        spread = spread.where(~split)
-    cells = [F.struct(F.lit(q).alias("question"), F.col(f"lo{i}").alias("answer"), F.col(f"hi{i}").alias("hi")) for i, q in enumerate(questions)]
-    return spread.select("item", F.explode(F.array(*cells)).alias("c")).select("item", "c.*").where("answer = hi").drop("hi")
+        spread = spread.where(~any_differs)
+    cells = []
+    for i, (question, domain) in enumerate(domains.items()):
+        code = F.element_at(F.array(*[F.lit(c) for c in domain]), F.col(f"lo{i}"))
+        cells.append(F.struct(F.lit(question).alias("question"), F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), code).alias("answer")))
+    return spread.select("item", F.explode(F.array(*cells)).alias("c")).select("item", "c.*").where("answer IS NOT NULL")
 
 
 def agreed_wide(agreements: DataFrame, meta: DataFrame, questions: list[str], item: str = "item") -> DataFrame:
@@ -184,21 +199,17 @@ def disagreed(answers: DataFrame, domains: Domains, meta: DataFrame | None = Non
     Only questions that disagree are filled. Columns are sorted in descending order
     after the item columns.
     """
-    questions = list(domains)
-    spread_aggs, names = [], {}
-    for i, q in enumerate(questions):
-        answer = F.when(F.col("question") == q, F.col("answer"))
-        spread_aggs += [F.min(answer).alias(f"lo{i}"), F.max(answer).alias(f"hi{i}")]
-        for code in domains[q]:
-            name = column_name(q, code, domains[q])
+    aggs, any_differs = _spread(domains)
+    names = {}
+    for i, (question, domain) in enumerate(domains.items()):
+        for code in domain:
+            name = column_name(question, code, domain)
             names[name] = i
-            coder = F.when((F.col("question") == q) & (F.col("answer") == code), F.col("coder").cast("string"))
-            spread_aggs.append(A.joined(coder).alias(name))
-    rows = answers.groupBy("item").agg(*spread_aggs)
-    split = {i: F.coalesce(F.col(f"lo{i}") != F.col(f"hi{i}"), F.lit(False)) for i in range(len(questions))}
-    rows = rows.where(reduce(lambda a, b: a | b, split.values()))
+            coder = F.when((F.col("question") == question) & (F.col("answer") == code), F.col("coder").cast("string"))
+            aggs.append(A.joined(coder).alias(name))
+    rows = answers.groupBy("item").agg(*aggs).where(any_differs)
     ordered = sorted(names, reverse=True)
-    rows = rows.select("item", *[F.when(split[names[n]], F.col(n)).alias(n) for n in ordered])
+    rows = rows.select("item", *[F.when(_differs(names[n]), F.col(n)).alias(n) for n in ordered])
     if meta is None:
         return rows
     joined = meta.withColumnRenamed(item, "item").join(rows, "item")
@@ -206,19 +217,22 @@ def disagreed(answers: DataFrame, domains: Domains, meta: DataFrame | None = Non
 
 
 def disagreed_long(answers: DataFrame) -> DataFrame:
-    """Disagreements without a fixed domain: ``item, question, answer, coders``."""
-    split = (
-        answers.groupBy("item", "question").agg(F.min("answer").alias("lo"), F.max("answer").alias("hi"))
-        .where("lo <> hi").select("item", "question")
-    )
-    return coders_per_answer(answers).join(split, ["item", "question"]).select("item", "question", "answer", "coders")
+    """Disagreements without a fixed domain: ``item, question, answer, coders``.
+
+    Rows are placed by (item, question) once; counting the answers and listing the
+    coders both work within that placement.
+    """
+    placed = answers.repartition("item", "question")
+    answers_here = F.count("*").over(Window.partitionBy("item", "question"))
+    listed = coders_per_answer(placed).withColumn("_answers", answers_here)
+    return listed.where("_answers > 1").select("item", "question", "answer", "coders")
 
 
 def needed_columns(answers: DataFrame, domains: Domains) -> DataFrame:
     """The (question, class) columns disagreements really use, in descending order."""
     used = disagreed_long(answers).select("question", "answer").distinct()
     pairs = [(q, code, column_name(q, code, domains[q])) for q in domains for code in domains[q]]
-    named = answers.sparkSession.createDataFrame(pairs, "question STRING, answer STRING, column_name STRING")
+    named = small_table(answers.sparkSession, pairs, ["question", "answer", "column_name"])
     return used.join(named, ["question", "answer"]).select("column_name").orderBy(F.desc("column_name"))
 
 

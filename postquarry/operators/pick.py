@@ -42,7 +42,7 @@ def missing_slots(picked: DataFrame, langs: list[str], first_day: str, last_day:
     """Every (language, date, hour) between two days that ``picked`` has no row for."""
     day = F.explode(F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"), F.expr("INTERVAL 1 DAY")))
     grid = (
-        picked.sparkSession.range(1)
+        picked.sparkSession.range(0, 1, 1, 1)
         .select(day.alias("slot_date"))
         .withColumn("slot_hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
         .withColumn(lang_col, F.explode(F.array(*[F.lit(v) for v in langs])))

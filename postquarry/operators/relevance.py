@@ -19,9 +19,9 @@ BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 20_000
 
 
-def tokens(text: Column, word_break: str = WORD_BREAK) -> Column:
-    """Distinct lower-case words of the whole text."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(text), word_break), ""))
+def tokens(text: Column) -> Column:
+    """Lower-case words of the whole text; an empty word may stand at either end."""
+    return F.split(F.lower(text), WORD_BREAK)
 
 
 def match_words(
@@ -42,14 +42,15 @@ def match_words(
     """
     keyed = df.select(*key_cols, tokens(F.col(text_col)).alias("_tokens"))
     if not isinstance(words, DataFrame):
-        listed = sorted({w.lower() for w in words})
+        listed = sorted({w.lower() for w in words} - {""})
         if len(listed) <= INLINE_WORDS:
             wanted = F.array(*[F.lit(w) for w in listed]).cast("array<string>")
             hits = keyed.select(*key_cols, F.array_sort(F.array_intersect("_tokens", wanted)).alias("words"))
             return hits.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
         words = df.sparkSession.createDataFrame([(w,) for w in listed], f"{word_col} STRING")
-    wanted = words.select(F.lower(word_col).alias("_word")).distinct()
-    hits = keyed.select(*key_cols, F.explode("_tokens").alias("_word")).join(wanted, "_word")
+    wanted = words.select(F.lower(word_col).alias("_word")).where("_word <> ''").distinct()
+    # The join needs repeats removed first; array_intersect does that by itself.
+    hits = keyed.select(*key_cols, F.explode(F.array_distinct("_tokens")).alias("_word")).join(wanted, "_word")
     grouped = hits.groupBy(*key_cols).agg(F.array_sort(F.collect_list("_word")).alias("words"))
     return grouped.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postquarry.session import small_table
+
 # The edges of the frequency histogram.
 FREQUENCY_EDGES = [0, 5, 50, 500, 2000, 5000, 8000, 10000, 15000]
 
@@ -62,7 +64,7 @@ def histogram(df: DataFrame, value_col: str, edges: list[float] = FREQUENCY_EDGE
         .groupBy("bin").agg(F.count("*").alias("n"))
     )
     labels = [(i, f"{edges[i]}-{edges[i + 1]}") for i in range(len(edges) - 1)]
-    bins = df.sparkSession.createDataFrame(labels, "bin INT, label STRING")
+    bins = small_table(df.sparkSession, labels, ["bin", "label"])
     return zero_filled(bins, counted, ["bin"])
 
 
@@ -80,7 +82,7 @@ def histogram_equal(df: DataFrame, value_col: str, n_bins: int = 10) -> DataFram
         F.least(F.width_bucket("v", low, high, F.lit(n_bins)), F.lit(n_bins)).cast("int").alias("bin")
     )
     counted = binned.groupBy("bin").agg(F.count("*").alias("n"))
-    bins = df.sparkSession.range(1, n_bins + 1).select(
+    bins = df.sparkSession.range(1, n_bins + 1, 1, 1).select(
         F.col("id").cast("int").alias("bin"),
         (low + (high - low) * (F.col("id") - 1) / n_bins).alias("low"),
         (low + (high - low) * F.col("id") / n_bins).alias("high"),

@@ -27,7 +27,8 @@ LONG_SQL = f"""{LINES_SQL},
 
 def coded_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
-    return lines.agg(*[F.min(c).alias(c) for c in ("l_returnflag", "l_linestatus", "l_suppkey", "l_partkey")])
+    letters = [F.chr(F.min(F.ascii(c))).alias(c) for c in ("l_returnflag", "l_linestatus")]
+    return lines.agg(*letters, F.min("l_suppkey").alias("l_suppkey"), F.min("l_partkey").alias("l_partkey"))
 
 
 def long_answers(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,12 +120,12 @@ SPREAD_SQL = f"""WITH {LONG_SQL},
 
 @query("A17 Q7", SPREAD_SQL + " SELECT item, question, lo AS answer FROM spread WHERE lo = hi AND item NOT IN (SELECT item FROM split)")
 def agreed(spark, sf):
-    return AN.agreed(long_answers(spark, sf), list(DOMAINS))
+    return AN.agreed(long_answers(spark, sf), DOMAINS)
 
 
 @query("A17 Q7", SPREAD_SQL + " SELECT item, question, lo AS answer FROM spread WHERE lo = hi")
 def agreed_per_question(spark, sf):
-    return AN.agreed(long_answers(spark, sf), list(DOMAINS), per_item=False)
+    return AN.agreed(long_answers(spark, sf), DOMAINS, per_item=False)
 
 
 @query("A17 J8 K9", SPREAD_SQL + """
@@ -132,7 +133,7 @@ def agreed_per_question(spark, sf):
            CASE WHEN question = 'l_linestatus' THEN lo END AS l_linestatus
     FROM spread s JOIN orders o ON o.o_orderkey = s.item WHERE lo = hi AND item NOT IN (SELECT item FROM split)""")
 def agreed_wide(spark, sf):
-    agreements = AN.agreed(long_answers(spark, sf), list(DOMAINS))
+    agreements = AN.agreed(long_answers(spark, sf), DOMAINS)
     meta = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     wide = AN.agreed_wide(agreements, meta, list(DOMAINS), "o_orderkey")
     return wide.withColumnRenamed("item", "o_orderkey")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "postquarry", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,7 +24,6 @@ def build_session(app: str = "postquarry", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.python.filterPushdown.enabled": "true",
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     for key, value in settings.items():
@@ -63,3 +64,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: list[tuple[Any, ...]], names: list[str]) -> DataFrame:
+    """A few literal rows as a table, without starting a Python worker."""
+    cells = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells)))

@@ -205,6 +205,7 @@ class TarJsonlSource(DataSource):
 def read_archive(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
     """Lines of all archives below ``path`` with their location."""
     spark.dataSource.register(TarJsonlSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     reader = spark.read.format("tar_jsonl")
     for key, value in options.items():
         reader = reader.option(key, value)
