@@ -54,29 +54,37 @@ HASHTAG_SCHEMA = "hashtags ARRAY<STRUCT<text: STRING>>"
 MEDIA_SCHEMA = "media ARRAY<STRUCT<media_url_https: STRING>>"
 
 
-def parse_posts(df: DataFrame, value_col: str = "value", keep_raw: bool = False) -> DataFrame:
+_OWN = "_post_"
+
+
+def parse_posts(df: DataFrame, value_col: str = "value", keep_raw: bool = False, fields: list[str] | None = None) -> DataFrame:
     """JSON text to post columns, for both payload generations in one parse.
 
     A line is either the post or an envelope with the post under ``data``. Malformed
     lines keep their place with null fields and their text in ``_corrupt_record``.
+    ``fields`` limits what is parsed to the named post fields.
     """
+    schema = T.StructType([f for f in POST_SCHEMA.fields if fields is None or f.name in fields])
     both = T.StructType([
-        *POST_SCHEMA.fields,
-        T.StructField("data", POST_SCHEMA),
+        *schema.fields,
+        T.StructField("data", schema),
         T.StructField("_corrupt_record", _text),
     ])
     parsed = F.from_json(value_col, both, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     # An id is a number in one generation and text in the other; both read as text.
     wanted = {"id": "bigint"}
     others = [name for name in df.columns if name != value_col or keep_raw]
-    enveloped = F.col("_p.data").isNotNull()
+    enveloped = F.col("data").isNotNull()
 
     def field(name: str) -> Column:
-        value = F.when(enveloped, F.col(f"_p.data.{name}")).otherwise(F.col(f"_p.{name}"))
+        value = F.when(enveloped, F.col(f"data.{name}")).otherwise(F.col(f"{_OWN}{name}"))
         return (value.try_cast(wanted[name]) if name in wanted else value).alias(name)
 
-    fields = [field(name) for name in POST_SCHEMA.names]
-    return df.withColumn("_p", parsed).select(*others, *fields, F.col("_p._corrupt_record").alias("_corrupt_record"))
+    columns = [field(name) for name in schema.names]
+    # inline() of the one parsed struct: a filter on a post field stays above it, so the
+    # text is parsed once. Below a plain projection the parse would be copied into the filter.
+    opened = df.select(*others, F.inline(F.array(parsed)).alias(*[f"{_OWN}{n}" for n in schema.names], "data", f"{_OWN}corrupt"))
+    return opened.select(*others, *columns, F.col(f"{_OWN}corrupt").alias("_corrupt_record"))
 
 
 def post_url(screen_name: Column, post_id: Column) -> Column:

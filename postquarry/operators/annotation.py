@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from postquarry.functions import answers as A
-from postquarry.session import small_table
+from postquarry.session import broadcast_if_small, small_table
 
 Domains = dict[str, list[str] | dict[str, str]]
 
@@ -304,7 +304,7 @@ def wide_answers(
     inputs = inputs or []
     annotated = export.where(is_annotated(annotation_id)).withColumn("_who", F.col(annotator).cast("string"))
     if users is not None:
-        named = users.select(F.col("user_id").alias(annotator), F.col("name").alias("_name"))
+        named = broadcast_if_small(users.select(F.col("user_id").alias(annotator), F.col("name").alias("_name")))
         annotated = annotated.join(named, annotator, "left").withColumn("_who", A.user_name(F.col("_name"), F.col(annotator)))
     first = F.col(order_col or annotation_id)
     aggs = [F.min_by(F.col(i), first).alias(i) for i in inputs]

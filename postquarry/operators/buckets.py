@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from postquarry.session import materialize
+
 # Positions are looked up in stripes of this many rows.
 STRIPE = 1 << 16
 
@@ -84,10 +86,18 @@ def sample_positions(index: DataFrame, n: int, seed: int, lang_col: str = "lang"
     """``n`` random positions per language, with replacement: ``lang, draw, position``.
 
     The position of a draw is a hash of seed, language and draw number, so it does not
-    depend on the number of partitions.
+    depend on the number of partitions. Draws are listed in chunks that are spread over
+    the tasks before they are opened.
     """
-    draws = index_totals(index, lang_col).select(
-        lang_col, "total", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("draw")
+    last = n - 1
+    chunks = index_totals(index, lang_col).select(
+        lang_col, "total", F.explode(F.sequence(F.lit(0), F.lit(last // STRIPE))).alias("_chunk")
+    )
+    if last >= STRIPE:
+        chunks = chunks.repartition(lang_col, "_chunk")
+    first = F.col("_chunk").cast("bigint") * STRIPE
+    draws = chunks.select(
+        lang_col, "total", F.explode(F.sequence(first, F.least(first + STRIPE - 1, F.lit(last).cast("bigint")))).alias("draw")
     )
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(lang_col), F.col("draw").cast("string")))
     number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
@@ -103,27 +113,58 @@ def rows_at(
 ) -> DataFrame:
     """The rows of ``df`` (which has an offset column) at the located places.
 
-    Only (language, bucket, offset) triples that were asked for are kept, so the small
-    side decides; whether it is broadcast is left to its measured size.
+    The places are written first: from the size of the files Spark knows whether to
+    broadcast them, so a sample does not shuffle the whole table.
     """
-    return located.join(df, [lang_col, bucket_col, offset_col])
+    return materialize(located, "located").join(df, [lang_col, bucket_col, offset_col])
 
 
-def sample_distinct(df: DataFrame, key_col: str, n: int, seed: int, order_cols: list[str] | None = None) -> DataFrame:
+def sample_distinct(
+    df: DataFrame, key_col: str, n: int, seed: int, order_cols: list[str] | None = None, direct: int = 100_000,
+) -> DataFrame:
     """``n`` distinct keys in the order of a seeded hash, one row each.
 
     The keys alone are deduplicated and ranked; the rows follow by a join with the
-    ``n`` winners. Of several rows of a key the first by ``order_cols`` is taken.
+    ``n`` winners. Of several rows of a key the first by ``order_cols`` is taken. Beyond
+    ``direct`` the winners are not sorted as a whole: keys are counted by the first four
+    digits of their hash, whole groups are taken while they fit, and only the group that
+    the ``n``-th key falls into is sorted.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key_col).cast("string")))
-    winners = df.select(key_col).distinct().withColumn("_rank", digest).orderBy("_rank").limit(n).drop("_rank")
-    chosen = df.join(winners, key_col, "left_semi")
+    keys = df.select(key_col).distinct().withColumn("_rank", digest)
+    if n <= direct:
+        winners = keys.orderBy("_rank").limit(n)
+    else:
+        group = F.substring("_rank", 1, 4)
+        taken, edge = 0, None
+        for row in keys.groupBy(group.alias("g")).agg(F.count("*").alias("c")).orderBy("g").collect():
+            if taken + row["c"] > n:
+                edge = row["g"]
+                break
+            taken += row["c"]
+        winners = keys
+        if edge is not None:
+            rest = keys.where(group == edge).orderBy("_rank").limit(n - taken)
+            winners = keys.where(group < edge).unionByName(rest)
+    chosen = df.join(winners.drop("_rank"), key_col, "left_semi")
     if not order_cols:
         return chosen
     first = Window.partitionBy(key_col).orderBy(*order_cols)
     return chosen.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
+# Days of an output are listed literally up to this many (more than a century).
+LISTED_DAYS = 40_000
+
+
 def new_days(df: DataFrame, existing: DataFrame, day_col: str = "day") -> DataFrame:
-    """Rows of days the output does not hold yet."""
-    return df.join(existing.select(day_col).distinct(), day_col, "left_anti")
+    """Rows of days the output does not hold yet.
+
+    Days are few and each holds many rows, so joining by day would gather them. The days
+    are bounded by the calendar and become a literal list; anything longer is joined.
+    """
+    days = existing.select(day_col).where(F.col(day_col).isNotNull()).distinct()
+    listed = [row[0] for row in days.limit(LISTED_DAYS + 1).collect()]
+    if len(listed) > LISTED_DAYS:
+        return df.join(days, day_col, "left_anti")
+    return df.where(F.col(day_col).isNull() | ~F.col(day_col).isin(listed)) if listed else df

@@ -10,6 +10,7 @@ from postquarry.functions import posts as P
 from postquarry.functions import times as TM
 from postquarry.operators.filters import after_minutes
 from postquarry.operators.numbering import number_rows
+from postquarry.session import materialize
 
 LOCATION = ["dump", "archive", "member", "line_no"]
 
@@ -50,9 +51,13 @@ def missing_slots(picked: DataFrame, langs: list[str], first_day: str, last_day:
     return grid.join(picked.select(lang_col, "slot_date", "slot_hour").distinct(), [lang_col, "slot_date", "slot_hour"], "left_anti")
 
 
-def lookup(df: DataFrame, requests: DataFrame, loc_cols: list[str] = LOCATION) -> DataFrame:
-    """Rows of ``df`` at the requested locations, with the columns of the request."""
-    return requests.join(df, loc_cols)
+def lookup(df: DataFrame, requests: DataFrame, loc_cols: list[str] = LOCATION, pin: bool = False) -> DataFrame:
+    """Rows of ``df`` at the requested locations, with the columns of the request.
+
+    With ``pin`` the requests are written first: a request computed from a large table
+    looks large to the planner, the size of its files shows whether it can be broadcast.
+    """
+    return (materialize(requests, "requests") if pin else requests).join(df, loc_cols)
 
 
 def index_rows(df: DataFrame, ts_col: str, lang_col: str, url: str, extra_cols: list[str], platform: str = P.PLATFORM) -> DataFrame:

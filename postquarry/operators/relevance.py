@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from postquarry.session import BROADCAST_BYTES, broadcast_if_small, ship_package
+
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 # A list up to this size is compared inside the row; beyond it words are joined.
 INLINE_WORDS = 256
-# Reference vectors up to this many bytes (as doubles) are sent to every executor.
-BROADCAST_BYTES = 64 << 20
 # Rows per side of one block of the blocked search.
 BLOCK_ROWS = 20_000
 
@@ -36,9 +36,8 @@ def match_words(
 
     Whole words, case ignored, each word counted once. Returns the key columns, the
     sorted ``words`` and their number. A short Python list is intersected inside the
-    row without any shuffle. A table is equi-joined on the word, so the text side needs
-    no shuffle either when Spark measures the list as small, and only the hits are
-    grouped.
+    row without any shuffle. A table is equi-joined on the word; its size is measured, and
+    while it is small it is broadcast, so that only the hits are shuffled.
     """
     keyed = df.select(*key_cols, tokens(F.col(text_col)).alias("_tokens"))
     if not isinstance(words, DataFrame):
@@ -48,7 +47,7 @@ def match_words(
             hits = keyed.select(*key_cols, F.array_sort(F.array_intersect("_tokens", wanted)).alias("words"))
             return hits.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
         words = df.sparkSession.createDataFrame([(w,) for w in listed], f"{word_col} STRING")
-    wanted = words.select(F.lower(word_col).alias("_word")).where("_word <> ''").distinct()
+    wanted = broadcast_if_small(words.select(F.lower(word_col).alias("_word")).where("_word <> ''").distinct())
     # The join needs repeats removed first; array_intersect does that by itself.
     hits = keyed.select(*key_cols, F.explode(F.array_distinct("_tokens")).alias("_word")).join(wanted, "_word")
     grouped = hits.groupBy(*key_cols).agg(F.array_sort(F.collect_list("_word")).alias("words"))
@@ -111,11 +110,12 @@ def nearest(
     """The ``k`` nearest reference vectors by cosine: key, rank (1-based), ref_id, label, cosine.
 
     Exact. The bytes of the reference set are measured first. A set within
-    ``broadcast_bytes`` is sent to the executors and every batch of posts is compared
+    ``broadcast_bytes`` (as doubles) is sent to the executors and every batch of posts is compared
     with it in one matrix product, without a shuffle. A larger set is cut into blocks
     and so are the posts; every pair of blocks is one task that keeps ``k`` rows per
     post, and the best ``k`` over the blocks remain.
     """
+    ship_package(df.sparkSession)
     refs = refs.select(F.col(ref_id).alias("ref_id"), F.col(label).alias("label"), F.col(ref_vec).cast("array<double>").alias("vec"))
     posts = df.select(F.col(key_col).alias("key"), F.col(vec_col).cast("array<double>").alias("pv")).where("pv IS NOT NULL")
     key_type = posts.schema["key"].dataType.simpleString()

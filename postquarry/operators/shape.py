@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from postquarry.session import ship_package
+
 
 def _type_name(value: object) -> str:
     if value is None:
@@ -49,6 +51,7 @@ def key_presence(df: DataFrame, json_col: str, batch_col: str | None = None) ->
     batch is reduced to its distinct (path, type) pairs before the shuffle. Text that is
     not JSON counts as type ``malformed``.
     """
+    ship_package(df.sparkSession)
     batch = F.col(batch_col).cast("string") if batch_col else F.lit("")
     source = df.select(batch.alias("batch"), F.col(json_col).alias("value")).where("value IS NOT NULL")
 

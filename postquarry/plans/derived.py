@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from postquarry.session import ship_package
 from postquarry.sources.archive import open_folder
 
 
@@ -21,6 +22,7 @@ def write_archive(df: DataFrame, root: str, month: str, value_col: str = "value"
     Every task writes one tar and every batch of rows one member, gzip and bzip2 in
     turn, so nothing is gathered. A tar appears under its name only when it is complete.
     """
+    ship_package(df.sparkSession)
     folder = f"{root}/dump-{month}"
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -209,7 +209,7 @@ def post_index(spark, sf):
     SELECT p.event_id, p.pos, e.user_id, e.value, e.props FROM p JOIN events e USING (event_id)""")
 def first_k_lookup(spark, sf):
     picked = PK.first_k(slotted_events(spark, sf), SLOT, ["ts", "event_id"], 5, rank="pos").select("event_id", "pos")
-    return PK.lookup(table(spark, sf, "events").select("event_id", "user_id", "value", "props"), picked, ["event_id"])
+    return PK.lookup(table(spark, sf, "events").select("event_id", "user_id", "value", "props"), picked, ["event_id"], pin=True)
 
 
 @query("J1 S11", """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,27 @@ def build_session(app: str = "postquarry", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed wherever a task runs a function of the package and the package is not
+    installed on the executors.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="postquarry-")) / "postquarry.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
@@ -66,6 +89,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Largest measured table that is sent whole to every executor.
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast when its measured text size is within the bound, else as it is.
+
+    Meant for word lists and dimensions, whose size Spark cannot tell before it runs.
+    """
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
+
+
 def small_table(spark: SparkSession, rows: list[tuple[Any, ...]], names: list[str]) -> DataFrame:
     """A few literal rows as a table, without starting a Python worker."""
     cells = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)]) for row in rows]

@@ -1,8 +1,10 @@
-"""Data source for tar archives of compressed JSON lines.
+"""Data sources for compressed JSON lines: tar archives and plain trees of bucket files.
 
-``spark.read.format("tar_jsonl").load(path)`` gives one row per line with its location:
+``read_archive`` (``spark.read.format("tar_jsonl")``) gives one row per line with its location:
 ``dump, archive, member, line_no, value`` and, with ``badMember=report``, ``member_error``.
 
+``read_tree`` (``tree_jsonl``) gives the same for a plain repacked tree, with ``lang``.
+
 The driver lists files and their sizes, nothing more. An archive is cut into slices of
 about ``sliceBytes``; the task of a slice walks the tar headers (seeking from one to the
 next) and unpacks every n-th member, so one large archive keeps many tasks busy and no
@@ -36,12 +38,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import StructType
 
+from postquarry.session import materialize, ship_package
+
 # What a dump folder, an archive and a member are called.
 DUMP_NAME = re.compile(r"(\d{4}-\d{2})$")
 ARCHIVE_NAME = re.compile(r"(\d{8})\.tar$")
+TREE_FILE = re.compile(r"/(\d{4}-\d{2})/(\d{8})/([^/]+)/(\d{12}\.jsonl\.gz)$")
 MEMBER_ENDINGS = (".json.gz", ".json.bz2")
 
 SPOOL_BYTES = 64 << 20
+OPEN_COST = 1 << 20
 BATCH_ROWS = 4096
 BATCH_BYTES = 8 << 20
 UNPACK_ERRORS = (OSError, EOFError, ValueError, tarfile.TarError, gzip.zlib.error)
@@ -55,6 +61,14 @@ class ArchiveSlice(InputPartition):
         self.path, self.dump, self.archive, self.index, self.count = path, dump, archive, index, count
 
 
+class FilePack(InputPartition):
+    """Some files of a plain tree: (path, location columns) pairs."""
+
+    def __init__(self, files: list[tuple[str, dict[str, str]]]) -> None:
+        super().__init__(files)
+        self.files = files
+
+
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and inner path of a local path or a URI."""
     if "://" in path or path.startswith("file:"):
@@ -62,6 +76,17 @@ def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), path
 
 
+def list_tree(root: str) -> Iterator[tuple[str, dict[str, str], int]]:
+    """(path, location, size) of every bucket file, in order of month, day, language, bucket."""
+    fs, base = open_folder(root)
+    infos = fs.get_file_info(pafs.FileSelector(base, recursive=True))
+    for info in sorted(infos, key=lambda i: i.path):
+        found = TREE_FILE.search(info.path)
+        if info.type == pafs.FileType.File and found:
+            month, day, lang, member = found.groups()
+            yield info.path, {"dump": f"repack-{month}", "archive": day, "lang": lang, "member": member}, info.size
+
+
 def member_stem(name: str) -> str:
     return name.rsplit("/", 1)[-1].split(".", 1)[0]
 
@@ -90,35 +115,81 @@ def unpack(source: BinaryIO, name: str) -> BinaryIO:
     return spool
 
 
-class TarJsonlReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict[str, str]) -> None:
+class LineReader(DataSourceReader):
+    """What both layouts share: location filters, unpacking, batches of lines."""
+
+    location: tuple[str, ...] = ()
+
+    def __init__(self, options: dict[str, str]) -> None:
         self.root = options["path"]
         self.slice_bytes = int(options.get("slicebytes", 256 << 20))
-        self.max_archives = int(options.get("maxarchives", 0))
-        self.max_members = int(options.get("maxmembersperarchive", 0))
         self.bad_member = options.get("badmember", "skip")
         if self.bad_member not in ("skip", "fail", "report"):
             raise ValueError(f"badMember must be skip, fail or report, not {self.bad_member!r}")
         self.wanted: dict[str, set[str]] = {}
-        for column in ("dump", "archive", "member"):
+        for column in self.location:
             if options.get(column):
                 self._restrict(column, set(options[column].split("|")))
 
     def _restrict(self, column: str, values: set[str]) -> None:
         self.wanted[column] = self.wanted[column] & values if column in self.wanted else values
 
-    def _is_wanted(self, column: str, value: str) -> bool:
-        return column not in self.wanted or value in self.wanted[column]
+    def _is_wanted(self, **found: str) -> bool:
+        return all(column not in self.wanted or value in self.wanted[column] for column, value in found.items())
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for item in filters:
-            if isinstance(item, EqualTo) and item.attribute[0] in ("dump", "archive", "member"):
+            if isinstance(item, EqualTo) and item.attribute[0] in self.location:
                 self._restrict(item.attribute[0], {item.value})
-            elif isinstance(item, In) and item.attribute[0] in ("dump", "archive", "member"):
+            elif isinstance(item, In) and item.attribute[0] in self.location:
                 self._restrict(item.attribute[0], set(item.value))
             else:
                 yield item
 
+    def _lines(self, source: BinaryIO, found: dict[str, str]) -> Iterator[pa.RecordBatch]:
+        """Batches of one unpacked member; nothing, an error or a report if it is damaged."""
+        try:
+            lines = unpack(source, found["member"])
+        except UNPACK_ERRORS as error:
+            if self.bad_member == "fail":
+                raise
+            if self.bad_member == "report":
+                yield self._batch(found, [-1], [None], f"{type(error).__name__}: {error}")
+            return
+        with lines:
+            numbers: list[int] = []
+            values: list[str] = []
+            held = 0
+            for number, line in enumerate(lines):
+                text = line.decode("utf-8", "replace").rstrip("\r\n")
+                if text.strip():
+                    numbers.append(number)
+                    values.append(text)
+                    held += len(line)
+                if len(values) == BATCH_ROWS or held > BATCH_BYTES:
+                    yield self._batch(found, numbers, values)
+                    numbers, values, held = [], [], 0
+            if values:
+                yield self._batch(found, numbers, values)
+
+    def _batch(self, found: dict[str, str], numbers: list[int], values: list, error: str | None = None) -> pa.RecordBatch:
+        rows = len(numbers)
+        columns = {name: pa.array([found[name]] * rows, pa.string()) for name in self.location}
+        columns["line_no"] = pa.array(numbers, pa.int64())
+        columns["value"] = pa.array(values, pa.string())
+        if self.bad_member == "report":
+            columns["member_error"] = pa.array([error] * rows, pa.string())
+        return pa.RecordBatch.from_pydict(columns)
+
+
+class TarJsonlReader(LineReader):
+    location = ("dump", "archive", "member")
+
+    def __init__(self, options: dict[str, str]) -> None:
+        super().__init__(options)
+        self.max_archives = int(options.get("maxarchives", 0))
+        self.max_members = int(options.get("maxmembersperarchive", 0))
+
     def partitions(self) -> list[ArchiveSlice]:
         slices: list[ArchiveSlice] = []
         per_dump: dict[str, int] = {}
@@ -126,12 +197,15 @@ class TarJsonlReader(DataSourceReader):
             per_dump[dump] = per_dump.get(dump, 0) + 1
             if self.max_archives and per_dump[dump] > self.max_archives:
                 continue
-            if self._is_wanted("dump", dump) and self._is_wanted("archive", archive):
+            if self._is_wanted(dump=dump, archive=archive):
                 count = max(1, -(-size // self.slice_bytes))
                 slices += [ArchiveSlice(path, dump, archive, i, count) for i in range(count)]
         return slices
 
-    def read(self, partition: ArchiveSlice) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchiveSlice | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes when no partition was planned
+            return
+        found = {"dump": partition.dump, "archive": partition.archive}
         fs, _ = open_folder(self.root)
         with fs.open_input_file(partition.path) as raw:
             try:
@@ -141,75 +215,87 @@ class TarJsonlReader(DataSourceReader):
                     if self.max_members:
                         members = members[:self.max_members]
                     for member in members[partition.index::partition.count]:
-                        if self._is_wanted("member", member.name):
-                            yield from self._read_member(tar, member, partition)
+                        if self._is_wanted(member=member.name):
+                            yield from self._lines(tar.extractfile(member), {**found, "member": member.name})
             except tarfile.ReadError as error:
                 if self.bad_member == "fail":
                     raise
                 if self.bad_member == "report" and partition.index == 0:
-                    yield self._batch(partition, "", [-1], [None], str(error))
+                    yield self._batch({**found, "member": ""}, [-1], [None], str(error))
 
-    def _read_member(self, tar: tarfile.TarFile, member: tarfile.TarInfo, part: ArchiveSlice) -> Iterator[pa.RecordBatch]:
-        try:
-            lines = unpack(tar.extractfile(member), member.name)
-        except UNPACK_ERRORS as error:
-            if self.bad_member == "fail":
-                raise
-            if self.bad_member == "report":
-                yield self._batch(part, member.name, [-1], [None], f"{type(error).__name__}: {error}")
-            return
-        with lines:
-            numbers: list[int] = []
-            values: list[str] = []
-            held = 0
-            for number, line in enumerate(lines):
-                text = line.decode("utf-8", "replace").rstrip("\r\n")
-                if text.strip():
-                    numbers.append(number)
-                    values.append(text)
-                    held += len(line)
-                if len(values) == BATCH_ROWS or held > BATCH_BYTES:
-                    yield self._batch(part, member.name, numbers, values)
-                    numbers, values, held = [], [], 0
-            if values:
-                yield self._batch(part, member.name, numbers, values)
 
-    def _batch(self, part: ArchiveSlice, member: str, numbers: list[int], values: list, error: str | None = None) -> pa.RecordBatch:
-        rows = len(numbers)
-        columns = {
-            "dump": pa.array([part.dump] * rows, pa.string()),
-            "archive": pa.array([part.archive] * rows, pa.string()),
-            "member": pa.array([member] * rows, pa.string()),
-            "line_no": pa.array(numbers, pa.int64()),
-            "value": pa.array(values, pa.string()),
-        }
-        if self.bad_member == "report":
-            columns["member_error"] = pa.array([error] * rows, pa.string())
-        return pa.RecordBatch.from_pydict(columns)
+class TreeReader(LineReader):
+    location = ("dump", "archive", "lang", "member")
+
+    def partitions(self) -> list[FilePack]:
+        packs: list[FilePack] = []
+        pack: list[tuple[str, dict[str, str]]] = []
+        held = 0
+        for path, found, size in list_tree(self.root):
+            if not self._is_wanted(**found):
+                continue
+            if pack and held + size > self.slice_bytes:
+                packs.append(FilePack(pack))
+                pack, held = [], 0
+            pack.append((path, found))
+            held += size + OPEN_COST
+        return [*packs, FilePack(pack)] if pack else packs
+
+    def read(self, partition: FilePack | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:
+            return
+        fs, _ = open_folder(self.root)
+        for path, found in partition.files:
+            with fs.open_input_file(path) as raw:
+                yield from self._lines(raw, found)
 
 
 class TarJsonlSource(DataSource):
+    reader_class: type[LineReader] = TarJsonlReader
+
     @classmethod
     def name(cls) -> str:
         return "tar_jsonl"
 
     def schema(self) -> str:
-        base = "dump STRING, archive STRING, member STRING, line_no BIGINT, value STRING"
-        report = {k.lower(): v for k, v in self.options.items()}.get("badmember") == "report"
-        return f"{base}, member_error STRING" if report else base
+        names = [*[f"{name} STRING" for name in self.reader_class.location], "line_no BIGINT", "value STRING"]
+        if self._lower().get("badmember") == "report":
+            names.append("member_error STRING")
+        return ", ".join(names)
+
+    def reader(self, schema: StructType) -> LineReader:
+        return self.reader_class(self._lower())
+
+    def _lower(self) -> dict[str, str]:
+        return {key.lower(): value for key, value in self.options.items()}
+
 
-    def reader(self, schema: StructType) -> TarJsonlReader:
-        return TarJsonlReader(schema, {k.lower(): v for k, v in self.options.items()})
+class TreeSource(TarJsonlSource):
+    reader_class = TreeReader
+
+    @classmethod
+    def name(cls) -> str:
+        return "tree_jsonl"
+
+
+def _read(spark: SparkSession, source: type[DataSource], path: str, options: dict[str, str | int]) -> DataFrame:
+    ship_package(spark)
+    spark.dataSource.register(source)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format(source.name()).options(**options).load(path)
 
 
 def read_archive(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
     """Lines of all archives below ``path`` with their location."""
-    spark.dataSource.register(TarJsonlSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    reader = spark.read.format("tar_jsonl")
-    for key, value in options.items():
-        reader = reader.option(key, value)
-    return reader.load(path)
+    return _read(spark, TarJsonlSource, path, options)
+
+
+def read_tree(spark: SparkSession, path: str, **options: str | int) -> DataFrame:
+    """Lines of a plain tree ``YYYY-MM/YYYYMMDD/<lang>/<bucket>.jsonl.gz`` with their location.
+
+    ``dump`` is ``repack-YYYY-MM``, ``archive`` the day and ``member`` the file name.
+    """
+    return _read(spark, TreeSource, path, options)
 
 
 def lookup_lines(spark: SparkSession, path: str, requests: DataFrame, max_members: int = 100_000, **options: str | int) -> DataFrame:
@@ -218,6 +304,7 @@ def lookup_lines(spark: SparkSession, path: str, requests: DataFrame, max_member
     Every requested member is unpacked once. When the request names no more than
     ``max_members`` members they prune the scan; a longer request joins with all of it.
     """
+    requests = materialize(requests, "requests")
     members = requests.select("dump", "archive", "member").distinct().limit(max_members + 1).collect()
     if len(members) <= max_members:
         for column in ("dump", "archive", "member"):

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from postquarry.functions import naming as N
 from postquarry.functions import times as TM
-from postquarry.sources.archive import DUMP_NAME, open_folder
-
+from postquarry.operators.buckets import index_counts
+from postquarry.sources.archive import DUMP_NAME, open_folder, read_tree
 
 # JSON times keep their microseconds.
 TIME_FORMATS = {
@@ -33,41 +33,36 @@ def read_repacked(
     return df.where(F.col("lang").isin(langs)) if langs else df
 
 
-def read_repacked_tree(spark: SparkSession, root: str, months: list[str] | None = None, langs: list[str] | None = None) -> DataFrame:
+def read_repacked_tree(
+    spark: SparkSession, root: str, months: list[str] | None = None, langs: list[str] | None = None, slice_bytes: int = 256 << 20,
+) -> DataFrame:
     """A plain tree ``YYYY-MM/YYYYMMDD/<lang>/YYYYMMDDHHMM.jsonl.gz`` with its location.
 
     ``dump, archive (day), lang, member (file name), line_no, value``. Months and
-    languages select folders before anything is opened. A gzip file is read by one task
-    in order, so the row ids within a file are consecutive and give the line numbers.
+    languages select files before anything is opened.
     """
-    month_glob = "{" + ",".join(months) + "}" if months else "*"
-    lang_glob = "{" + ",".join(langs) + "}" if langs else "*"
-    lines = spark.read.text(f"{root.rstrip('/')}/{month_glob}/*/{lang_glob}/*.jsonl.gz").select(
-        "value", F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_id")
-    )
-    first = lines.groupBy("_path").agg(F.min("_id").alias("_first"))
-    part = r"/(\d{4}-\d{2})/(\d{8})/([^/]+)/([^/]+)$"
-    names = ["dump", "archive", "lang", "member"]
-    columns = [F.regexp_extract("_path", part, i + 1).alias(name) for i, name in enumerate(names)]
-    located = lines.join(first, "_path").select(*columns, (F.col("_id") - F.col("_first")).alias("line_no"), "value")
-    return located.withColumn("dump", F.concat(F.lit("repack-"), "dump")).where(F.trim("value") != "")
+    options: dict[str, str | int] = {"sliceBytes": slice_bytes}
+    if months:
+        options["dump"] = "|".join(f"repack-{m}" for m in months)
+    if langs:
+        options["lang"] = "|".join(langs)
+    return read_tree(spark, root, **options)
 
 
 def repack_tree_index(spark: SparkSession, root: str, langs: list[str] | None = None) -> DataFrame:
     """Rows per file of a plain tree, with the bucket time and date parts from the file name."""
-    from postquarry.operators.buckets import index_counts
-
-    rows = read_repacked_tree(spark, root, langs=langs)
-    counted = rows.groupBy("dump", "archive", "lang", "member").agg(F.count("*").alias("n"))
-    dt = TM.bucket_time(F.col("member"))
-    counted = counted.select(
-        F.col("lang").alias("language"),
+    lang_glob = "{" + ",".join(langs) + "}" if langs else "*"
+    counted = lines_per_file(spark, f"{root.rstrip('/')}/*/*/{lang_glob}/*.jsonl.gz")
+    dt = TM.bucket_time(F.col("path"))
+    part = r"/([^/]+/[^/]+/([^/]+)/[^/]+)$"
+    files = counted.select(
+        F.regexp_extract("path", part, 2).alias("language"),
         dt.alias("dt"), F.year(dt).alias("year"), F.month(dt).alias("month"), F.dayofmonth(dt).alias("day"),
         F.hour(dt).alias("hour"), F.minute(dt).alias("minute"),
-        F.concat_ws("/", F.regexp_replace("dump", "^repack-", ""), "archive", "lang", "member").alias("path"),
+        F.regexp_extract("path", part, 1).alias("path"),
         "n",
     )
-    return index_counts(counted, "language", ["dt", "path"])
+    return index_counts(files, "language", ["dt", "path"])
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -62,6 +62,7 @@ def test_unreadable_archive_is_empty(spark, tmp_path):
 
 def test_location_filters_prune_partitions(spark, root):
     day = read_archive(spark, root).where("archive = '20220102'")
+    assert read_archive(spark, root).where("archive = '20220103'").count() == 0
     assert ids(day) == [6, 7] and day.rdd.getNumPartitions() == 1
     one = read_archive(spark, root).where("member IN ('20220101/20220101000000.json.gz', '20220102/20220102000000.json.gz') AND line_no = 0")
     assert ids(one) == [1, 6]

@@ -106,3 +106,29 @@ def test_index_sums(spark):
     df = spark.createDataFrame([("en", 1), ("en", 1), ("en", 3), ("de", 3)], "lang STRING, bucket INT")
     index = B.bucket_index(df)
     assert sorted(tuple(r) for r in index.collect()) == [("de", 3, 1, 0), ("en", 1, 2, 0), ("en", 3, 1, 2)]
+
+
+@pytest.mark.parametrize("n", [1, 250, 999, 1000, 5000])
+def test_a_large_sample_is_cut_by_hash_groups(spark, n):
+    df = spark.range(1000).select(F.col("id").alias("k"))
+    small = {r["k"] for r in B.sample_distinct(df, "k", n, 9).collect()}
+    large = {r["k"] for r in B.sample_distinct(df, "k", n, 9, direct=0).collect()}
+    assert small == large and len(small) == min(n, 1000)
+
+
+def test_draws_do_not_depend_on_chunks(spark, monkeypatch):
+    index = spark.createDataFrame([("en", 0, 70, 0), ("de", 0, 9, 0)], "lang STRING, bucket INT, n BIGINT, first_row BIGINT")
+    whole = sorted(map(tuple, B.sample_positions(index, 100, 1).collect()))
+    monkeypatch.setattr(B, "STRIPE", 7)
+    assert sorted(map(tuple, B.sample_positions(index, 100, 1).collect())) == whole
+    assert len(whole) == 200 and {d for _, d, _ in whole} == set(range(100))
+
+
+def test_new_days_with_and_without_a_list(spark, monkeypatch):
+    df = spark.createDataFrame([("1", 1), ("2", 2), (None, 3)], "day STRING, id INT")
+    known = spark.createDataFrame([("1",), ("1",), (None,)], "day STRING")
+    want = [2, 3]
+    assert sorted(r["id"] for r in B.new_days(df, known).collect()) == want
+    assert sorted(r["id"] for r in B.new_days(df, known.limit(0)).collect()) == [1, 2, 3]
+    monkeypatch.setattr(B, "LISTED_DAYS", 0)
+    assert sorted(r["id"] for r in B.new_days(df, known).collect()) == want

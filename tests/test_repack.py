@@ -132,3 +132,11 @@ def test_random_lines_from_files(spark, tree):
 
 def test_lines_per_file(spark, tree):
     assert sorted(r["n"] for r in S.lines_per_file(spark, f"{tree}/*/*/*").collect()) == [2, 3, 4, 5]
+
+
+def test_tree_packs_files_into_tasks(spark, tree):
+    one, many = S.read_repacked_tree(spark, tree), S.read_repacked_tree(spark, tree, slice_bytes=1)
+    assert one.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    assert many.where("lang = 'de'").rdd.getNumPartitions() == 1
+    assert S.read_repacked_tree(spark, tree, months=["2022-02"]).count() == 0
