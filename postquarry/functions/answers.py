@@ -62,7 +62,7 @@ def kappa_band(kappa: Column) -> Column:
 
 def joined(values: Column) -> Column:
     """Collect, sort and join with ``"; "``; null when nothing was collected."""
-    collected = F.array_sort(F.collect_list(values))
+    collected = F.sort_array(F.collect_list(values))
     return F.when(F.size(collected) > 0, F.array_join(collected, "; "))
 
 

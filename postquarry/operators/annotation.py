@@ -66,8 +66,8 @@ def coders_per_answer(answers: DataFrame) -> DataFrame:
 
 def coder_map(answers: DataFrame) -> DataFrame:
     """Edge form: per (item, question) a map from answer to the list of coders."""
-    lists = answers.groupBy("item", "question", "answer").agg(F.array_sort(F.collect_list("coder")).alias("coders"))
-    return lists.groupBy("item", "question").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("answer", "coders")))).alias("coders"))
+    lists = answers.groupBy("item", "question", "answer").agg(F.sort_array(F.collect_list("coder")).alias("coders"))
+    return lists.groupBy("item", "question").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("answer", "coders")))).alias("coders"))
 
 
 def broken_cells(cells: DataFrame) -> DataFrame:
@@ -327,7 +327,7 @@ def free_text(export: DataFrame, text_cols: list[str], task: str = "id", annotat
 def free_text_map(texts: DataFrame) -> DataFrame:
     """Edge form: per (task, question) a map from annotator to text."""
     last = texts.groupBy("task", "question", "annotator").agg(F.max("text").alias("text"))
-    return last.groupBy("task", "question").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("annotator", "text")))).alias("texts"))
+    return last.groupBy("task", "question").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("annotator", "text")))).alias("texts"))
 
 
 def progress(export: DataFrame, project: str, task: str = "id", annotation_id: str = "annotation_id") -> DataFrame:

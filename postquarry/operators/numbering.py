@@ -42,11 +42,13 @@ def number_rows(
         F.count("*").alias("_rows"), F.min("_place").alias("_first")
     )
     before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(
+    shifts = runs.select(
         *[F.col(c).alias(f"_g_{c}") for c in group_cols],
         F.col("_part").alias("_p"),
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first").bitwiseAND(F.lit(_LOW_BITS))).alias("_shift"),
     )
+    # Written, so that the planner knows how small they are and broadcasts them.
+    offsets = materialize(shifts, "offsets")
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]
     condition = reduce(lambda a, b: a & b, same, part == F.col("_p"))
     return (

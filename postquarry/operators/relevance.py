@@ -44,13 +44,15 @@ def match_words(
         listed = sorted({w.lower() for w in words} - {""})
         if len(listed) <= INLINE_WORDS:
             wanted = F.array(*[F.lit(w) for w in listed]).cast("array<string>")
-            hits = keyed.select(*key_cols, F.array_sort(F.array_intersect("_tokens", wanted)).alias("words"))
+            # One-element explode: the size filter stays above it and the match runs once.
+            found = F.array(F.sort_array(F.array_intersect("_tokens", wanted)))
+            hits = keyed.select(*key_cols, F.explode(found).alias("words"))
             return hits.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
         words = df.sparkSession.createDataFrame([(w,) for w in listed], f"{word_col} STRING")
     wanted = broadcast_if_small(words.select(F.lower(word_col).alias("_word")).where("_word <> ''").distinct())
     # The join needs repeats removed first; array_intersect does that by itself.
     hits = keyed.select(*key_cols, F.explode(F.array_distinct("_tokens")).alias("_word")).join(wanted, "_word")
-    grouped = hits.groupBy(*key_cols).agg(F.array_sort(F.collect_list("_word")).alias("words"))
+    grouped = hits.groupBy(*key_cols).agg(F.sort_array(F.collect_list("_word")).alias("words"))
     return grouped.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
 
 

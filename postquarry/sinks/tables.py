@@ -101,13 +101,13 @@ def nested_stats(finest: DataFrame, archive: str, member: str, lang: str, total:
     """
     per_member = finest.groupBy(archive, member).agg(
         F.sum(total).alias("total_posts"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(lang), F.col("accepted"))))).alias("accepted_posts"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(lang), F.col("accepted"))))).alias("accepted_posts"),
     )
     per_lang = finest.groupBy(archive, lang).agg(F.sum("accepted").alias("n"))
-    accepted = per_lang.groupBy(archive).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(lang, "n")))).alias("accepted_posts"))
+    accepted = per_lang.groupBy(archive).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(lang, "n")))).alias("accepted_posts"))
     items = per_member.groupBy(archive).agg(
         F.sum("total_posts").alias("total_posts"),
-        F.map_from_entries(F.array_sort(F.collect_list(
+        F.map_from_entries(F.sort_array(F.collect_list(
             F.struct(F.col(member), F.to_json(F.struct("total_posts", "accepted_posts")))
         ))).alias("items"),
     )

@@ -6,6 +6,9 @@ the watermark has closed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -38,8 +41,18 @@ def minute_counts(df: DataFrame, ts_col: str, lang_col: str, delay: str = "1 hou
 
 
 def drop_repeats(df: DataFrame, key_cols: list[str], ts_col: str, delay: str = "1 hour") -> DataFrame:
-    """The first arrival of every key; a key is remembered for ``delay``."""
-    return with_instant(df, ts_col, delay).dropDuplicatesWithinWatermark(key_cols).drop("_instant")
+    """The first arrival of every key; a key is remembered for ``delay``.
+
+    Repeats inside one Arrow batch are dropped before the shuffle, so a key that fills a
+    large part of the stream does not send all its rows to one state partition.
+    """
+
+    def drop_local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            repeated = batch.select(key_cols).to_pandas().duplicated()
+            yield batch.filter(pa.array(~repeated.to_numpy()))
+
+    return with_instant(df.mapInArrow(drop_local, df.schema), ts_col, delay).dropDuplicatesWithinWatermark(key_cols).drop("_instant")
 
 
 def repack_stream(
