@@ -69,7 +69,3 @@ def joined(values: Column) -> Column:
 def user_name(name: Column, user_id: Column) -> Column:
     """Display name, else the id as text."""
     return F.coalesce(name, user_id.cast("string"))
-
-
-def bin_label(low: Column, high: Column) -> Column:
-    return F.concat_ws("-", low.cast("string"), high.cast("string"))

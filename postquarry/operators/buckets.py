@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from postquarry.operators.numbering import number_rows
 from postquarry.session import materialize
 
 # Positions are looked up in stripes of this many rows.
@@ -110,13 +111,20 @@ def rows_at(
     lang_col: str = "lang",
     bucket_col: str = "bucket",
     offset_col: str = "offset",
+    order_cols: list[str] | None = None,
 ) -> DataFrame:
-    """The rows of ``df`` (which has an offset column) at the located places.
+    """The rows of ``df`` at the located places.
 
     The places are written first: from the size of the files Spark knows whether to
-    broadcast them, so a sample does not shuffle the whole table.
+    broadcast them, so a sample does not shuffle the whole table. Files know the line
+    number of a row; for a table without offsets ``order_cols`` (unique within a bucket)
+    define them, and only the buckets that were drawn are numbered.
     """
-    return materialize(located, "located").join(df, [lang_col, bucket_col, offset_col])
+    places = materialize(located, "located")
+    if order_cols:
+        drawn = df.join(places.select(lang_col, bucket_col).distinct(), [lang_col, bucket_col], "left_semi")
+        df = number_rows(drawn, order_cols, [lang_col, bucket_col], offset_col)
+    return places.join(df, [lang_col, bucket_col, offset_col])
 
 
 def sample_distinct(

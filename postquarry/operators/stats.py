@@ -48,6 +48,11 @@ def frequency(df: DataFrame, by_cols: list[str], explode_col: str | None = None,
     return df.groupBy(*by_cols).agg(F.count("*").alias("n"))
 
 
+def bin_label(low: Column, high: Column) -> Column:
+    """``low-high``."""
+    return F.concat_ws("-", low.cast("string"), high.cast("string"))
+
+
 def _bin_of(value: Column, edges: list[float]) -> Column:
     """0-based bin: half-open, the last one closed; null outside."""
     chain = F.when(value < edges[0], F.lit(None).cast("int")).when(value > edges[-1], F.lit(None).cast("int"))
@@ -63,9 +68,9 @@ def histogram(df: DataFrame, value_col: str, edges: list[float] = FREQUENCY_EDGE
         .where(F.col("bin").isNotNull())
         .groupBy("bin").agg(F.count("*").alias("n"))
     )
-    labels = [(i, f"{edges[i]}-{edges[i + 1]}") for i in range(len(edges) - 1)]
-    bins = small_table(df.sparkSession, labels, ["bin", "label"])
-    return zero_filled(bins, counted, ["bin"])
+    ranges = [(i, edges[i], edges[i + 1]) for i in range(len(edges) - 1)]
+    bins = small_table(df.sparkSession, ranges, ["bin", "low", "high"])
+    return zero_filled(bins.select("bin", bin_label(F.col("low"), F.col("high")).alias("label")), counted, ["bin"])
 
 
 def histogram_equal(df: DataFrame, value_col: str, n_bins: int = 10) -> DataFrame:

@@ -80,11 +80,10 @@ def random_positions(spark, sf):
     SELECT d.event_type, d.draw, d.position, r.bucket, r.event_id, r.value FROM ({DRAWS_SQL}) d JOIN r USING (event_type, position)""")
 def random_rows(spark, sf):
     events = bucketed_events(spark, sf).select("event_id", "event_type", "ts", "value", "bucket")
-    numbered = number_rows(events, ["ts", "event_id"], ["event_type", "bucket"], "offset").drop("ts")
-    index = B.bucket_index(numbered, "event_type")
+    index = B.bucket_index(events, "event_type")
     draws = B.sample_positions(index, 200, 7, "event_type")
     located = B.locate_positions(draws, index, "event_type")
-    return B.rows_at(numbered, located, "event_type").select("event_type", "draw", "position", "bucket", "event_id", "value")
+    return B.rows_at(events, located, "event_type", order_cols=["ts", "event_id"]).select("event_type", "draw", "position", "bucket", "event_id", "value")
 
 
 @query("T7", """

@@ -269,10 +269,10 @@ def json_posts(spark: SparkSession, sf: str) -> DataFrame:
            TIMESTAMP '2022-01-01 00:00:00' + to_seconds((999 + d.doc_id * 77777) // 1000) AS date_created,
            md5(CASE WHEN d.n_chars > 140 AND l.quality IS NOT NULL THEN d.text ELSE substring(d.text, 1, 140) END) AS text_md5,
            d.lang || '; ' || d.source AS tags,
-           CASE WHEN l.toxic = 1 OR l.quality = 0 THEN true END AS contains_media,
+           CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'true' END AS contains_media,
            CASE WHEN l.quality = 0 THEN 'https://m/' || d.doc_id || '; https://m/' || d.doc_id
                 WHEN l.toxic = 1 THEN 'https://m/' || d.doc_id ELSE '' END AS media,
-           d.n_chars > 140 AS truncated, CASE WHEN l.quality IS NOT NULL THEN l.toxic = 1 END AS possibly_sensitive,
+           d.n_chars > 140 AS truncated, CASE WHEN l.quality IS NOT NULL THEN CAST(l.toxic = 1 AS VARCHAR) END AS possibly_sensitive,
            CAST(d.doc_id AS VARCHAR) AS user_id
     FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def parsed_posts(spark, sf):
@@ -283,9 +283,9 @@ def parsed_posts(spark, sf):
         TM.event_time(F.col("timestamp_ms")).alias("date_created"),
         F.md5(P.full_text(F.col("truncated"), F.col("text"), F.col("extended_tweet.full_text"))).alias("text_md5"),
         F.array_join(P.hashtags(entities), "; ").alias("tags"),
-        P.contains_media(entities, extended).alias("contains_media"),
+        P.contains_media(entities, extended).cast("string").alias("contains_media"),
         F.array_join(P.media_urls(entities, extended), "; ").alias("media"),
-        "truncated", "possibly_sensitive",
+        "truncated", F.col("possibly_sensitive").cast("string").alias("possibly_sensitive"),
         P.short_user(F.col("user.id_str"), F.col("user.display_name"))["id_str"].alias("user_id"),
     )
 

@@ -65,3 +65,12 @@ def test_partition_values_without_reading(spark, tmp_path):
     assert S.list_partition_values(spark, root, "day").count() == 0
     spark.range(1).select("id", F.lit("20220101").alias("day")).write.partitionBy("day").json(root)
     assert [r["day"] for r in S.list_partition_values(spark, root, "day").collect()] == ["20220101"]
+
+
+def test_json_lines_plain_and_gzip(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.jsonl").write_text('{"id": 1}\n\n{broken\n')
+    (tmp_path / "b.jsonl.gz").write_bytes(gzip.compress(b'{"id": 2}\n'))
+    got = S.read_jsonl(spark, str(tmp_path), "id INT")
+    assert sorted(str(r["id"]) for r in got.collect()) == ["1", "2", "None"]

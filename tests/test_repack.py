@@ -140,3 +140,19 @@ def test_tree_packs_files_into_tasks(spark, tree):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
     assert many.where("lang = 'de'").rdd.getNumPartitions() == 1
     assert S.read_repacked_tree(spark, tree, months=["2022-02"]).count() == 0
+
+
+def test_index_table_is_rebuilt(spark, tree, tmp_path):
+    index = S.repack_tree_index(spark, tree)
+    for _ in range(2):
+        K.write_index(index, str(tmp_path / "index"))
+    assert spark.read.parquet(str(tmp_path / "index")).count() == 4
+
+
+def test_rows_at_numbers_only_the_drawn_buckets(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.concat(F.lit("b"), F.col("id") % 6)).alias("bucket"), F.lit("en").alias("lang"), "id")
+    index = B.bucket_index(df)
+    asked = spark.createDataFrame([("en", p) for p in (0, 99, 600, 999, 999)], "lang STRING, position BIGINT")
+    got = sorted((r["position"], r["id"]) for r in B.rows_at(df, B.locate_positions(asked, index), order_cols=["id"]).collect())
+    ordered = [r["id"] for r in df.orderBy("bucket", "id").collect()]
+    assert got == [(p, ordered[p]) for p in (0, 99, 600, 999, 999)]
