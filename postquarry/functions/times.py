@@ -9,8 +9,11 @@ EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def event_time(millis: Column, tz: str = "UTC") -> Column:
-    """Epoch milliseconds (text or number) to a zone-free timestamp in ``tz``, whole seconds."""
-    seconds = F.floor(millis.cast("bigint") / F.lit(1000)).cast("bigint")
+    """Epoch milliseconds (text or number) to a zone-free timestamp in ``tz``, whole seconds.
+
+    Null for text that is not a number.
+    """
+    seconds = F.floor(millis.try_cast("bigint") / F.lit(1000)).cast("bigint")
     utc = F.expr(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 

@@ -152,11 +152,11 @@ def _spread(domains: Domains) -> tuple[list[Column], Column]:
     """Aggregates giving the lowest and highest answer per question, and "any question differs".
 
     Answers are compared by their place in the domain: numbers aggregate in place in a
-    hash table, text would have to be sorted.
+    hash table, text would have to be sorted. Codes outside the domain do not count.
     """
     aggs, differs = [], []
     for i, (question, domain) in enumerate(domains.items()):
-        place = F.array_position(F.array(*[F.lit(c) for c in domain]), F.col("answer")).cast("int")
+        place = F.nullif(F.array_position(F.array(*[F.lit(c) for c in domain]), F.col("answer")), F.lit(0)).cast("int")
         here = F.when(F.col("question") == question, place)
         aggs += [F.min(here).alias(f"lo{i}"), F.max(here).alias(f"hi{i}")]
         differs.append(_differs(i))

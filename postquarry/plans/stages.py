@@ -16,6 +16,7 @@ from postquarry.operators import pick as PK
 from postquarry.operators import relevance as R
 from postquarry.operators import shape as SH
 from postquarry.operators import stats as ST
+from postquarry.session import materialize
 from postquarry.sinks import tables as K
 from postquarry.sources.archive import read_archive
 from postquarry.sources.files import read_repacked_tree
@@ -120,11 +121,16 @@ def _schema(path: str, json_col: str = "value", **_: Any) -> Stage:
     return sink("schema", lambda df: K.write_json(SH.key_presence(df, json_col), path), [json_col])
 
 
+def _pin(**_: Any) -> Stage:
+    """Write the posts so far to the shared folder, so that later sinks do not unpack the source again."""
+    return Stage("pin", lambda df: materialize(df, "posts"))
+
+
 def _media_filter(**_: Any) -> Stage:
     return Stage("media-filter", FL.with_media, ["entities", "extended_entities"])
 
 
-# The names of the stages.
+# The names of the stages (all but "pin").
 REGISTRY: dict[str, Callable[..., Stage]] = {
     "filter": _filter,
     "stats": _stats,
@@ -135,6 +141,7 @@ REGISTRY: dict[str, Callable[..., Stage]] = {
     "repack": _repack,
     "auto_relevance": _auto_relevance,
     "bot-filter1": _bot_filter,
+    "pin": _pin,
 }
 
 

@@ -114,9 +114,9 @@ def read_relevance(spark: SparkSession, path: str) -> DataFrame:
     as_object = F.from_json("value", "location STRING, post STRING, words ARRAY<STRING>")
     is_list = F.col("value").startswith("[")
     return lines.select(
-        F.from_json(F.when(is_list, parts[0]).otherwise(as_object["location"]), "array<string>").alias("location"),
-        F.when(is_list, parts[1]).otherwise(as_object["post"]).alias("post"),
-        F.when(is_list, F.from_json(parts[2], "array<string>")).otherwise(as_object["words"]).alias("words"),
+        F.from_json(F.when(is_list, F.get(parts, 0)).otherwise(as_object["location"]), "array<string>").alias("location"),
+        F.when(is_list, F.get(parts, 1)).otherwise(as_object["post"]).alias("post"),
+        F.when(is_list, F.from_json(F.get(parts, 2), "array<string>")).otherwise(as_object["words"]).alias("words"),
     )
 
 

@@ -161,3 +161,10 @@ def test_free_text_missing_and_progress(export):
     assert AN.free_text_map(AN.free_text(export, ["note"])).first()["texts"] == {1: "first"}
     assert [r["id"] for r in AN.missing_tasks(export).collect()] == ["t3"]
     assert tuple(AN.progress(export.withColumn("project", F.lit("p")), "project").first()) == ("p", 3, 2, 3)
+
+
+def test_codes_outside_the_domain_do_not_break_agreement(spark):
+    rows = [(1, "q", "a", "x"), (1, "q", "zz", "y"), (2, "q", "a", "x"), (2, "q", "b", "y")]
+    answers = spark.createDataFrame(rows, "item INT, question STRING, answer STRING, coder STRING")
+    assert [tuple(r) for r in AN.agreed(answers, {"q": ["a", "b"]}).collect()] == [(1, "q", "a")]
+    assert [r["item"] for r in AN.disagreed(answers, {"q": ["a", "b"]}).collect()] == [2]

@@ -111,9 +111,26 @@ def test_bucket_of_an_instant_uses_the_zone(spark):
 
 def test_names(spark):
     one = spark.range(1).select(
-        N.member_stem(F.lit("20220101/20220101000000.json.gz")), N.archive_date(F.lit("/d/twitter-stream-20220101.tar")),
+        N.member_stem(F.lit("20220101/20220101000000.json.gz")), N.archive_date(F.lit("/d/stream-20220101.tar")),
         N.dump_month(F.lit("/d/archive-stream-2022-01")), N.padded_lang(F.lit("en")), N.padded_lang(F.lit("longer")),
         N.padded_month(F.lit(3)), N.coder_of(F.lit("annot_2022_en_ada.parquet")), TM.bucket_time(F.lit("202201010045.jsonl.gz")),
         TM.bucket_time(F.lit("nothing")),
     ).first()
     assert tuple(one) == ("20220101000000", "20220101", "2022-01", "en_", "longer", "03", "ada", datetime(2022, 1, 1, 0, 45), None)
+
+
+def test_time_that_is_no_number_is_null(spark):
+    df = spark.createDataFrame([("x",), (None,), ("1640995200999",)], "ms STRING")
+    assert [r[0] for r in df.select(TM.event_time(F.col("ms"))).collect()] == [None, None, datetime(2022, 1, 1)]
+
+
+def test_named_fields_only(spark, posts):
+    line = spark.createDataFrame([(json.dumps({"data": SPECIAL[12]}),)], "value STRING")
+    df = P.parse_posts(line, fields=["lang", "id"])
+    assert df.columns == ["id", "lang", "_corrupt_record"] and tuple(df.first()) == (12, "en", None)
+
+
+def test_a_filter_does_not_parse_twice(spark):
+    df = P.parse_posts(spark.createDataFrame([("{}",)], "value STRING")).where("lang = 'en' AND truncated")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1

@@ -29,6 +29,7 @@ def test_run_with_every_sink(spark, root, tmp_path):
     posts = ST.read_posts(spark, "dump", root, keep_raw=True)
     stages = ST.build_stages([
         ("filter", {"langs": ["en", "de"]}),
+        ("pin", {}),
         ("stats", {"path": f"{out}/stats", "collect_hashtags": True}),
         ("index", {"path": f"{out}/index"}),
         ("annotation", {"path": f"{out}/candidates", "year": 2022, "month": 1}),
