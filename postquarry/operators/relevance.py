@@ -34,8 +34,8 @@ def match_words(
 ) -> DataFrame:
     """Rows whose text holds at least ``min_words`` words of the list.
 
-    Whole words, case ignored, each word counted once. Returns the key columns, the
-    sorted ``words`` and their number. A short Python list is intersected inside the
+    Whole words, case ignored, each word counted once. Returns the key columns (which
+    identify a row), the sorted ``words`` and their number. A short Python list is intersected inside the
     row without any shuffle. A table is equi-joined on the word; its size is measured, and
     while it is small it is broadcast, so that only the hits are shuffled.
     """

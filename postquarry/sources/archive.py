@@ -70,10 +70,13 @@ class FilePack(InputPartition):
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and inner path of a local path or a URI."""
-    if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    """File system and inner path of a local path or a URI as Spark writes them."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    scheme, rest = path.split("://", 1)
+    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
 
 def list_tree(root: str) -> Iterator[tuple[str, dict[str, str], int]]:

@@ -77,3 +77,8 @@ def test_lookup_by_location(spark, root, max_members):
     ], "dump STRING, archive STRING, member STRING, line_no BIGINT, req_pos INT")
     found = lookup_lines(spark, root, asked, max_members)
     assert [(r["req_pos"], r["id"]) for r in found.select("req_pos", F.get_json_object("value", "$.id").alias("id")).orderBy("req_pos").collect()] == [(0, "7"), (1, "4")]
+
+
+@pytest.mark.parametrize("prefix", ["file:", "file://"])
+def test_uris_name_the_same_folder(spark, root, prefix):
+    assert ids(read_archive(spark, prefix + root)) == [1, 2, 3, 4, 5, 6, 7]
