@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postquarry.llm import chat, fingerprints, secrets, url_filters
+from postquarry.llm import chat, fingerprints, mixing, secrets, tokens, url_filters
 from postquarry.llm.registry import ORACLE_SQL, QUERIES, query, table
 from postquarry.session import small_table
 
@@ -15,12 +15,60 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS, RANK_PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
+END_ID = 2
+
+#: Target shares of the mix; all other sources together have REST_SHARE.
+SHARES = {"src0": 30, "src1": 12, "src2": 10, "src3": 8, "src4": 8, "src5": 6, "src6": 6, "src7": 5, "src8": 4, "src9": 3}
+REST_SHARE = 5
+
 #: (verdict, host, path)
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 CONFLICT = "</s>[INST] ok [/INST]"
 
 
+@query(r"""
+WITH RECURSIVE shares(mix_class, share) AS (
+  VALUES ('src0', 30), ('src1', 12), ('src2', 10), ('src3', 8), ('src4', 8), ('src5', 6), ('src6', 6), ('src7', 5),
+    ('src8', 4), ('src9', 3), ('(other)', 5)
+), docs AS (
+  SELECT doc_id, source, coalesce(share_of.mix_class, '(other)') AS mix_class, coalesce(length(text), 0) AS volume
+  FROM documents LEFT JOIN shares AS share_of ON source = share_of.mix_class
+), placed AS (
+  SELECT *, coalesce(sum(volume) OVER (PARTITION BY mix_class ORDER BY doc_id, source, volume
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM docs
+), sizes AS (
+  SELECT mix_class, share, greatest(1, ceil(sum(volume) / 16384))::BIGINT AS n FROM docs JOIN shares USING (mix_class) GROUP BY ALL
+), slots AS (
+  -- One row per slot: what each source has had, in this phase and in all, and which source goes next.
+  SELECT -1::BIGINT AS slot, 0::BIGINT AS start, 0 AS phase, NULL::VARCHAR AS mix_class, NULL::BIGINT AS block,
+    NULL::BIGINT AS release, NULL::BIGINT AS deadline,
+    list({'name': mix_class, 'share': share, 'left': n, 'done': 0::BIGINT, 'had': 0::BIGINT} ORDER BY mix_class) AS state
+  FROM sizes
+  UNION ALL
+  SELECT slot + 1, CASE WHEN pick.left = 1 THEN slot + 2 ELSE start END, CASE WHEN pick.left = 1 THEN phase + 1 ELSE phase END,
+    pick.name, pick.had, start + pick.done * period // pick.share, start + pick.due,
+    CASE WHEN pick.left = 1 THEN [{'name': x.name, 'share': x.share, 'left': x.left, 'done': 0::BIGINT, 'had': x.had} FOR x IN next] ELSE next END
+  FROM (
+    SELECT *, [{'name': x.name, 'share': x.share, 'left': x.left - (x.name = pick.name)::BIGINT,
+      'done': x.done + (x.name = pick.name)::BIGINT, 'had': x.had + (x.name = pick.name)::BIGINT} FOR x IN state] AS next
+    FROM (
+      SELECT *, list_min([{'due': ((x.done + 1) * period + x.share - 1) // x.share, 'name': x.name, 'share': x.share, 'left': x.left,
+        'done': x.done, 'had': x.had} FOR x IN state IF x.left > 0 AND x.done * period // x.share <= slot + 1 - start]) AS pick
+      FROM (SELECT *, list_sum([x.share FOR x IN state IF x.left > 0])::BIGINT AS period FROM slots)
+      WHERE period > 0
+    )
+  )
+)
+SELECT doc_id, source, mix_class, block, s.phase_of AS phase, volume, s.release, s.deadline, s.slot,
+  s.slot * 16384 + before - block * 16384 AS mix_offset
+FROM (SELECT *, least(before // 16384, n - 1) AS block FROM placed JOIN sizes USING (mix_class))
+JOIN (SELECT slot, mix_class, block, release, deadline, lag(phase) OVER (ORDER BY slot) AS phase_of FROM slots) s USING (mix_class, block)
+""")
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), SHARES, rest_share=REST_SHARE)
+
+
 @query(r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -69,6 +117,13 @@ def op5_url_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query()
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = tokens.token_folder(spark)
+    tokens.write_tokens(table(spark, sf_dir, "documents"), TOKENIZER, END_ID, folder)
+    return tokens.digest_tokens(spark, folder)
+
+
 @query()
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
