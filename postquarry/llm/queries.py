@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postquarry.llm import chat, fingerprints, mixing, secrets, tokens, url_filters
+from postquarry.llm import chat, decontaminate, fingerprints, jaccard, mixing, secrets, tokens, url_filters
 from postquarry.llm.registry import ORACLE_SQL, QUERIES, query, table
 from postquarry.session import small_table
 
@@ -95,6 +95,30 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(turns.unionByName(hard)))
 
 
+@query(r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents
+), i AS (
+  SELECT item_id::VARCHAR AS item, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark
+), win AS (
+  SELECT DISTINCT item, list_slice(words, s, s + 9) AS w FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS s FROM i WHERE len(words) > 0)
+), runs AS (
+  SELECT doc_id, s, n, list_slice(words, s, s + n - 1) AS w
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS s FROM d, (SELECT DISTINCT len(w) AS n FROM win))
+), found AS (SELECT doc_id, s, n, item FROM runs JOIN win USING (w)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM found) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+""")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest_hits(decontaminate.find_windows(docs, items, size=10))
+
+
 @query(r"""
 WITH rest AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
@@ -124,6 +148,29 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digest_tokens(spark, folder)
 
 
+@query(r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(list_slice(words, i, i + 2)) AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM d WHERE len(words) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT x.doc_id AS u, y.doc_id AS v FROM (
+    SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+  ) p JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 90 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS seen FROM d UNION SELECT reach.doc_id, links.v FROM reach JOIN links ON links.u = reach.seen
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(k, 0) AS n_links
+FROM (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY 1) LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT u AS doc_id, count(*) AS k FROM links GROUP BY 1) USING (doc_id)
+""")
+def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), percent=90, n=3)
+
+
 @query()
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
