@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postquarry.llm import chat, decontaminate, fingerprints, jaccard, mixing, secrets, tokens, url_filters
+from postquarry.llm import chat, decontaminate, fingerprints, jaccard, language_model, mixing, secrets, tokens, toxicity, url_filters
+from postquarry.llm.common import fold
 from postquarry.llm.registry import ORACLE_SQL, QUERIES, query, table
 from postquarry.session import small_table
 
@@ -69,6 +70,16 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), SHARES, rest_share=REST_SHARE)
 
 
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.train(labels.where(fold("doc_id", 5) != 0).select("doc_id", "toxic"), docs)
+    return toxicity.score_texts(docs, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"), F.col("toxicity.spans").alias("spans"),
+    )
+
+
 @query(r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -177,6 +188,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_secrets(secrets.scan_secrets(docs, RANKS, RANK_PATTERN))
 
 
+@query()
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
 @query()
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
