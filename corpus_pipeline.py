@@ -13,14 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postquarry.llm import decontaminate, jaccard, mixing, tokens, toxicity
-from postquarry.llm.common import store
+from postquarry.llm.common import free_name, store
 from postquarry.llm.queries import END_ID, REST_SHARE, SHARES, TOKENIZER
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below 0.5, by a model of the labelled ones among them."""
     model = toxicity.train(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"), docs)
-    return toxicity.score_texts(docs, model, name="_toxicity").where("_toxicity.score < 0.5").select(*docs.columns)
+    name = free_name(docs, "_toxicity")
+    return toxicity.score_texts(docs, model, name=name).where(F.col(name)["score"] < 0.5).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +33,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
     found = decontaminate.find_windows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=10)
-    hit = found.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti").select(*docs.columns)
+    name = free_name(docs, "_hit")
+    hit = found.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents in the order of the mix: files in order, rows in order within each."""
     mixed = mixing.mix_sources(docs, SHARES, rest_share=REST_SHARE)
-    place = mixed.groupBy(F.col("doc_id").alias("_doc")).agg(F.min("mix_offset").alias("_place"))
+    doc, at = free_name(docs, "_doc"), free_name(docs, "_place")
+    place = mixed.groupBy(F.col("doc_id").alias(doc)).agg(F.min("mix_offset").alias(at))
     return (
-        docs.join(place, F.col("doc_id").eqNullSafe(F.col("_doc"))).repartitionByRange("_place", "doc_id")
-        .sortWithinPartitions("_place", "doc_id", "text").select(*docs.columns)
+        docs.join(place, F.col("doc_id").eqNullSafe(F.col(doc))).repartitionByRange(at, "doc_id")
+        .sortWithinPartitions(at, "doc_id", "text").select(*docs.columns)
     )
 
 

@@ -43,6 +43,13 @@ def on_exit(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that a table doesn't have."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

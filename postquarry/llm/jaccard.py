@@ -93,7 +93,7 @@ def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
         out.append(mix(mixed[at[1:]] - mixed[at[:-1]] + seed)[filled])
         if filled.sum() <= most:
             prefix = hashes[: n - -(-n * bands.percent // 100) + 1]
-            out.append(mix(prefix + np.uint64(2 * band + 1) * np.uint64(0x632BE59BD9B4E019)))
+            out.append(mix(prefix + np.uint64((2 * band + 1) * 0x632BE59BD9B4E019 % (1 << 64))))
     return np.concatenate(out)
 
 
