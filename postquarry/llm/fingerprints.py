@@ -185,7 +185,7 @@ def fingerprint_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "te
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     # One row per range: at most as many as there are partitions.
-    heads = sorted(map(tuple, df.groupBy(bucket_of(F.col(doc_id), bounds)).agg(F.max(doc_id)).collect()), reverse=True)
+    heads = sorted(map(tuple, rows.groupBy("bucket").agg(F.max("doc_id")).collect()), reverse=True)
     ahead = [(head, heads[k - 1][0]) for k, (_, head) in enumerate(heads)]
     if ahead:
         table = small_table(spark, ahead, ["_head", "_to"]).select(F.col("_head").cast("long"), F.col("_to").cast("int"))

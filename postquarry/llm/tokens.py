@@ -8,6 +8,8 @@ never touches the ids.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,14 +23,22 @@ from pyspark.sql.window import Window
 from postquarry.llm.common import bucket_of, on_exit, range_bounds, shuffle_width
 from postquarry.session import scratch_path, ship_package
 
-CACHED_UNITS = 600_000
+CACHED_UNITS, CACHED_PIECES = 200_000, 900_000
+
+#: Characters whose kind (letter, digit, white space, other) no version of Unicode disputes, and the splitting
+#: rule of byte-level tokenizers for texts of these.
+PLAIN = re.compile("[ -~\n\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
+PIECES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\u00c0-\u024f]+| ?[0-9]+| ?[^ \nA-Za-z0-9\u00c0-\u024f]+|[ \n]+(?![^ \n])|[ \n]+"
+)
 
 
 class Encoder:
-    """A tokenizer with a memory for the pieces of text between spaces.
+    """A tokenizer with a memory for the pieces of texts.
 
-    The tokenizer's own splitting always cuts before a space that a letter, digit or mark follows, so
-    such pieces can be encoded one by one and remembered. The memory is emptied when it is full.
+    A byte-level tokenizer cuts before every space that a letter, digit or mark follows, so the units
+    between such cuts can be encoded one by one and remembered, and plain units again piece by piece.
+    Any other tokenizer is given whole texts. A memory is emptied when it is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -38,26 +48,45 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        self.added = [a["content"] for a in said.get("added_tokens") or []]
+        kind = said.get("pre_tokenizer") or {}
+        self.splits = (
+            kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space")
+            and not said.get("normalizer") and not said.get("truncation") and not any(" " in a for a in self.added)
+        )
+        self.units: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _ask(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for k in range(0, len(texts), 4096):
+            out += [np.array(f.ids, "<u4").tobytes() for f in self.tokenizer.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False)]
+        return out
 
     def _learn(self, units: list[str]) -> None:
-        if len(self.known) + len(units) > CACHED_UNITS:
-            self.known.clear()
-        for k in range(0, len(units), 4096):
-            part = units[k : k + 4096]
-            for unit, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[unit] = np.array(found.ids, "<u4").tobytes()
+        cut = [PIECES.findall(u) if PLAIN.fullmatch(u) and not any(a in u for a in self.added) else [u] for u in units]
+        new = {p for pieces in cut for p in pieces} - self.pieces.keys()
+        if len(self.pieces) + len(new) > CACHED_PIECES:
+            self.pieces.clear()
+            new = {p for pieces in cut for p in pieces}
+        asked = list(new)
+        self.pieces.update(zip(asked, self._ask(asked)))
+        known = self.pieces
+        self.units.update(zip(units, [b"".join([known[p] for p in pieces]) for pieces in cut]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if not self.splits:
+            return self._ask(texts)
         split = [units_of(t) for t in texts]
-        new = {u for units in split for u in units if u not in self.known}
+        if len(self.units) > CACHED_UNITS:
+            self.units.clear()
+        new = {u for units in split for u in units} - self.units.keys()
         if new:
             self._learn(list(new))
-            missing = {u for units in split for u in units if u not in self.known}
-            if missing:
-                self._learn(list(missing))
-        known = self.known
+        known = self.units
         return [b"".join([known[u] for u in units]) for units in split]
 
 
