@@ -9,7 +9,6 @@ never touches the ids.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,22 +22,16 @@ from pyspark.sql.window import Window
 from postquarry.llm.common import bucket_of, on_exit, range_bounds, shuffle_width
 from postquarry.session import scratch_path, ship_package
 
-CACHED_UNITS, CACHED_PIECES = 200_000, 900_000
-
-#: Characters whose kind (letter, digit, white space, other) no version of Unicode disputes, and the splitting
-#: rule of byte-level tokenizers for texts of these.
-PLAIN = re.compile("[ -~\n\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
-PIECES = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\u00c0-\u024f]+| ?[0-9]+| ?[^ \nA-Za-z0-9\u00c0-\u024f]+|[ \n]+(?![^ \n])|[ \n]+"
-)
+CACHED_UNITS, JOINED_UNITS = 500_000, 256
 
 
 class Encoder:
     """A tokenizer with a memory for the pieces of texts.
 
     A byte-level tokenizer cuts before every space that a letter, digit or mark follows, so the units
-    between such cuts can be encoded one by one and remembered, and plain units again piece by piece.
-    Any other tokenizer is given whole texts. A memory is emptied when it is full.
+    between such cuts are encoded once and remembered. New units are put together, encoded as one text and
+    told apart by the bytes that their ids stand for. Any other tokenizer is given whole texts. The
+    memory is emptied when it is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,36 +43,38 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
-        self.added = [a["content"] for a in said.get("added_tokens") or []]
+        added = [a["content"] for a in said.get("added_tokens") or []]
         kind = said.get("pre_tokenizer") or {}
         self.splits = (
             kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space")
-            and not said.get("normalizer") and not said.get("truncation") and not any(" " in a for a in self.added)
+            and not said.get("normalizer") and not said.get("truncation") and not any(" " in a for a in added)
         )
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token.encode()) if token in added else len(token)
         self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for k in range(0, len(texts), 4096):
-            out += [np.array(f.ids, "<u4").tobytes() for f in self.tokenizer.encode_batch_fast(texts[k : k + 4096], add_special_tokens=False)]
-        return out
+    def _ask(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(f.ids, "<u4") for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, units: list[str]) -> None:
-        cut = [PIECES.findall(u) if PLAIN.fullmatch(u) and not any(a in u for a in self.added) else [u] for u in units]
-        new = {p for pieces in cut for p in pieces} - self.pieces.keys()
-        if len(self.pieces) + len(new) > CACHED_PIECES:
-            self.pieces.clear()
-            new = {p for pieces in cut for p in pieces}
-        asked = list(new)
-        self.pieces.update(zip(asked, self._ask(asked)))
-        known = self.pieces
-        self.units.update(zip(units, [b"".join([known[p] for p in pieces]) for pieces in cut]))
+        alone = [u for u in units if u[0] != " "]
+        self.units.update(zip(alone, (ids.tobytes() for ids in self._ask(alone))))
+        spaced = [u for u in units if u[0] == " "]
+        for k in range(0, len(spaced), JOINED_UNITS * 64):
+            groups = [spaced[j : j + JOINED_UNITS] for j in range(k, min(k + JOINED_UNITS * 64, len(spaced)), JOINED_UNITS)]
+            for group, ids in zip(groups, self._ask(["".join(g) for g in groups])):
+                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(u.encode()) for u in group])) + 1
+                start = 0
+                for unit, end in zip(group, ends.tolist()):
+                    self.units[unit] = ids[start:end].tobytes()
+                    start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.splits:
-            return self._ask(texts)
+            return [ids.tobytes() for ids in self._ask(texts)]
         split = [units_of(t) for t in texts]
         if len(self.units) > CACHED_UNITS:
             self.units.clear()
