@@ -130,16 +130,17 @@ def rows_at(
 def sample_distinct(
     df: DataFrame, key_col: str, n: int, seed: int, order_cols: list[str] | None = None, direct: int = 100_000,
 ) -> DataFrame:
-    """``n`` distinct keys in the order of a seeded hash, one row each.
+    """``n`` distinct keys in the order of a seeded hash, with ``order_cols`` one row each.
 
     The keys alone are deduplicated and ranked; the rows follow by a join with the
-    ``n`` winners. Of several rows of a key the first by ``order_cols`` is taken. Beyond
+    ``n`` winners; a null key never wins. Of several rows of a key the first by ``order_cols`` is
+    taken; without it all rows of the chosen keys are. Beyond
     ``direct`` the winners are not sorted as a whole: keys are counted by the first four
     digits of their hash, whole groups are taken while they fit, and only the group that
     the ``n``-th key falls into is sorted.
     """
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key_col).cast("string")))
-    keys = df.select(key_col).distinct().withColumn("_rank", digest)
+    keys = df.select(key_col).where(F.col(key_col).isNotNull()).distinct().withColumn("_rank", digest)
     if n <= direct:
         winners = keys.orderBy("_rank").limit(n)
     else:

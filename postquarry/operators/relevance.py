@@ -80,6 +80,9 @@ def _top_k(posts: np.ndarray, refs: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return np.take_along_axis(picked, order, 1), np.take_along_axis(values, order, 1)
 
 
+NOBODY = pd.DataFrame({"key": [], "ref_id": [], "label": [], "cosine": [], "rank": []})
+
+
 def _neighbours(keys: pd.Series, vectors: pd.Series, ids: np.ndarray, labels: np.ndarray, refs: np.ndarray, k: int) -> pd.DataFrame:
     """Long table of neighbours, a slice of rows at a time so the cosine block stays small."""
     step = max(1, (32 << 20) // (8 * max(1, refs.shape[0])))
@@ -93,8 +96,9 @@ def _neighbours(keys: pd.Series, vectors: pd.Series, ids: np.ndarray, labels: np
             "ref_id": ids[flat],
             "label": labels[flat],
             "cosine": cosine.ravel(),
+            "rank": np.tile(np.arange(1, width + 1, dtype=np.int32), len(index)),
         }))
-    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({"key": [], "ref_id": [], "label": [], "cosine": []})
+    return pd.concat(frames, ignore_index=True) if frames else NOBODY
 
 
 def nearest(
@@ -111,7 +115,7 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` nearest reference vectors by cosine: key, rank (1-based), ref_id, label, cosine.
 
-    Exact. The bytes of the reference set are measured first. A set within
+    Exact. Rows and references without a vector are left out. The bytes of the reference set are measured first. A set within
     ``broadcast_bytes`` (as doubles) is sent to the executors and every batch of posts is compared
     with it in one matrix product, without a shuffle. A larger set is cut into blocks
     and so are the posts; every pair of blocks is one task that keeps ``k`` rows per
@@ -119,11 +123,12 @@ def nearest(
     """
     ship_package(df.sparkSession)
     refs = refs.select(F.col(ref_id).alias("ref_id"), F.col(label).alias("label"), F.col(ref_vec).cast("array<double>").alias("vec"))
+    refs = refs.where("vec IS NOT NULL")
     posts = df.select(F.col(key_col).alias("key"), F.col(vec_col).cast("array<double>").alias("pv")).where("pv IS NOT NULL")
     key_type = posts.schema["key"].dataType.simpleString()
     id_type = refs.schema["ref_id"].dataType.simpleString()
     label_type = refs.schema["label"].dataType.simpleString()
-    long_schema = f"key {key_type}, ref_id {id_type}, label {label_type}, cosine double"
+    long_schema = f"key {key_type}, ref_id {id_type}, label {label_type}, cosine double, rank int"
     size = refs.agg(F.count("*").alias("rows"), F.sum(F.size("vec") * 8).alias("bytes")).first()
 
     if (size["bytes"] or 0) <= broadcast_bytes:
@@ -139,7 +144,8 @@ def nearest(
                 if len(batch) and len(ids):
                     yield _neighbours(batch["key"], batch["pv"], ids, labels, matrix, k)
 
-        found = posts.mapInPandas(against_all, long_schema)
+        # A batch has met every reference, so its ranks are final and nothing is shuffled.
+        return posts.mapInPandas(against_all, long_schema).select(F.col("key").alias(key_col), "rank", "ref_id", "label", "cosine")
     else:
         blocks = max(1, -(-size["rows"] // block_rows))
         chunks = max(1, -(-posts.count() // block_rows))
@@ -155,7 +161,7 @@ def nearest(
 
         def pair_of_blocks(some_posts: pd.DataFrame, some_refs: pd.DataFrame) -> pd.DataFrame:
             if some_posts.empty or some_refs.empty:
-                return pd.DataFrame({"key": [], "ref_id": [], "label": [], "cosine": []})
+                return NOBODY
             some_refs = some_refs.sort_values("ref_id", kind="stable")
             return _neighbours(
                 some_posts["key"], some_posts["pv"],

@@ -121,9 +121,9 @@ def relevant_words(spark, sf):
     WITH w AS (SELECT DISTINCT unnest({TOKENS_SQL}) AS word FROM benchmark),
          t AS (SELECT doc_id, unnest({TOKENS_SQL}) AS word FROM documents)
     SELECT doc_id, md5(string_agg(word, ' ' ORDER BY word)) AS words_md5, CAST(count(*) AS INTEGER) AS n_words
-    FROM t JOIN w USING (word) WHERE length(word) >= 8 GROUP BY doc_id HAVING count(*) >= 2""")
+    FROM t JOIN w USING (word) GROUP BY doc_id HAVING count(*) >= 2""")
 def relevant_words_table(spark, sf):
-    words = table(spark, sf, "benchmark").select(F.explode(R.tokens(F.col("text"))).alias("word")).where("length(word) >= 8")
+    words = table(spark, sf, "benchmark").select(F.explode(R.tokens(F.col("text"))).alias("word"))
     hits = R.match_words(table(spark, sf, "documents"), ["doc_id"], "text", words)
     return hits.select("doc_id", F.md5(F.array_join("words", " ")).alias("words_md5"), "n_words")
 

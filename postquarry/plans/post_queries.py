@@ -252,7 +252,7 @@ def json_posts(spark: SparkSession, sf: str) -> DataFrame:
         doc("doc_id").cast("string").alias("id_str"),
         (F.lit(1640995200999) + doc("doc_id") * 77777).cast("string").alias("timestamp_ms"),
         doc("lang"),
-        F.substring("text", 1, 140).alias("text"),
+        doc("text").alias("text"),
         (doc("n_chars") > 140).alias("truncated"),
         F.when(listed, F.struct(doc("text").alias("full_text"))).alias("extended_tweet"),
         F.struct(doc("source").alias("screen_name"), doc("doc_id").cast("string").alias("id_str")).alias("user"),
@@ -267,7 +267,7 @@ def json_posts(spark: SparkSession, sf: str) -> DataFrame:
 @query("S4 P1 P2 P4 P5 P6 P7 P14 P23 F5 F6", """
     SELECT d.doc_id AS id, 'https://x.com/' || d.source || '/status/' || d.doc_id AS post_url,
            TIMESTAMP '2022-01-01 00:00:00' + to_seconds((999 + d.doc_id * 77777) // 1000) AS date_created,
-           md5(CASE WHEN d.n_chars > 140 AND l.quality IS NOT NULL THEN d.text ELSE substring(d.text, 1, 140) END) AS text_md5,
+           md5(d.text) AS text_md5,
            d.lang || '; ' || d.source AS tags,
            CASE WHEN l.toxic = 1 OR l.quality = 0 THEN 'true' END AS contains_media,
            CASE WHEN l.quality = 0 THEN 'https://m/' || d.doc_id || '; https://m/' || d.doc_id

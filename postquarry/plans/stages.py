@@ -43,7 +43,7 @@ def sink(name: str, write: Callable[[DataFrame], None], requires: list[str] | No
     return Stage(name, apply, requires or [])
 
 
-def _filter(langs: list[str], filter_sensitive: bool = False, filter_no_location: bool = False, **_: Any) -> Stage:
+def _filter(langs: list[str], filter_sensitive: bool = False, filter_no_location: bool = False) -> Stage:
     def apply(df: DataFrame) -> DataFrame:
         rules = FL.post_rules(langs, filter_sensitive, filter_no_location)
         return FL.accepted(FL.with_reject_reason(df, rules))
@@ -51,7 +51,7 @@ def _filter(langs: list[str], filter_sensitive: bool = False, filter_no_location
     return Stage("filter", apply, ["lang", *P.ORIGIN_MARKERS])
 
 
-def _stats(path: str, collect_hashtags: bool = False, **_: Any) -> Stage:
+def _stats(path: str, collect_hashtags: bool = False) -> Stage:
     def write(df: DataFrame) -> None:
         K.write_stats(ST.hierarchy_counts(df, ["archive", "member"]), f"{path}/levels")
         if collect_hashtags:
@@ -61,7 +61,7 @@ def _stats(path: str, collect_hashtags: bool = False, **_: Any) -> Stage:
     return sink("stats", write, ["archive", "member", "lang"])
 
 
-def _index(path: str, tz: str = "UTC", **_: Any) -> Stage:
+def _index(path: str, tz: str = "UTC") -> Stage:
     def write(df: DataFrame) -> None:
         located = df.select(
             TM.event_time(F.col("timestamp_ms"), tz).alias("ts"), "lang",
@@ -72,7 +72,7 @@ def _index(path: str, tz: str = "UTC", **_: Any) -> Stage:
     return sink("index", write, ["timestamp_ms", "user", "id", *PK.LOCATION])
 
 
-def _annotation(path: str, year: int, month: int, skip_minutes: int = 0, tz: str = "UTC", **_: Any) -> Stage:
+def _annotation(path: str, year: int, month: int, skip_minutes: int = 0, tz: str = "UTC") -> Stage:
     def write(df: DataFrame) -> None:
         timed = FL.in_month(df.withColumn("_ts", TM.event_time(F.col("timestamp_ms"), tz)), "_ts", year, month)
         slotted = PK.with_slot(timed, "_ts")
@@ -82,7 +82,7 @@ def _annotation(path: str, year: int, month: int, skip_minutes: int = 0, tz: str
     return sink("annotation", write, ["timestamp_ms", "lang", *PK.LOCATION])
 
 
-def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True, skip_existing_days: bool = True, tz: str = "UTC", raw_col: str | None = "value", **_: Any) -> Stage:
+def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True, skip_existing_days: bool = True, tz: str = "UTC", raw_col: str | None = "value") -> Stage:
     def write(df: DataFrame) -> None:
         K.repack(
             df.withColumn("_ts", TM.event_time(F.col("timestamp_ms"), tz)), path, "_ts", ["_ts", *PK.LOCATION],
@@ -93,7 +93,7 @@ def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True,
     return sink("repack", write, ["timestamp_ms", "lang", *PK.LOCATION])
 
 
-def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz: str = "UTC", **_: Any) -> Stage:
+def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz: str = "UTC") -> Stage:
     def write(df: DataFrame) -> None:
         posts = df.withColumn("_text", P.full_text(F.col("truncated"), F.col("text"), F.col("extended_tweet.full_text")))
         hits = R.match_words(posts, [*PK.LOCATION, "lang", "id_str", "timestamp_ms", "_text"], "_text", words, min_relevant_words)
@@ -106,7 +106,7 @@ def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz
     return sink("auto_relevance", write, ["text", "lang", *PK.LOCATION])
 
 
-def _bot_filter(embed: Callable[[DataFrame], DataFrame], refs: DataFrame, key_col: str = "id_str", vec_col: str = "vec", **_: Any) -> Stage:
+def _bot_filter(embed: Callable[[DataFrame], DataFrame], refs: DataFrame, key_col: str = "id_str", vec_col: str = "vec") -> Stage:
     """``embed`` adds the vector column (a model in a pandas UDF, or a join with stored vectors)."""
 
     def apply(df: DataFrame) -> DataFrame:
@@ -117,16 +117,16 @@ def _bot_filter(embed: Callable[[DataFrame], DataFrame], refs: DataFrame, key_co
     return Stage("bot-filter1", apply, [key_col])
 
 
-def _schema(path: str, json_col: str = "value", **_: Any) -> Stage:
+def _schema(path: str, json_col: str = "value") -> Stage:
     return sink("schema", lambda df: K.write_json(SH.key_presence(df, json_col), path), [json_col])
 
 
-def _pin(**_: Any) -> Stage:
+def _pin() -> Stage:
     """Write the posts so far to the shared folder, so that later sinks do not unpack the source again."""
     return Stage("pin", lambda df: materialize(df, "posts"))
 
 
-def _media_filter(**_: Any) -> Stage:
+def _media_filter() -> Stage:
     return Stage("media-filter", FL.with_media, ["entities", "extended_entities"])
 
 
@@ -146,7 +146,7 @@ REGISTRY: dict[str, Callable[..., Stage]] = {
 
 
 def build_stages(selection: list[tuple[str, dict[str, Any]]], registry: dict[str, Callable[..., Stage]] | None = None) -> list[Stage]:
-    """Stages in the chosen order, each with the parameters of its own name."""
+    """Stages in the chosen order, each with the parameters of its own name; unknown ones are refused."""
     known = registry or REGISTRY
     unknown = [name for name, _ in selection if name not in known]
     if unknown:
@@ -165,10 +165,16 @@ def run_stages(df: DataFrame, stages: list[Stage]) -> DataFrame:
 
 
 def read_posts(spark: SparkSession, source: str, path: str, langs: list[str] | None = None, keep_raw: bool = False, **options: Any) -> DataFrame:
-    """Posts with location from ``dump`` (archives) or ``repack`` (a plain repacked tree)."""
+    """Posts with location from ``dump`` (archives) or ``repack`` (a plain repacked tree).
+
+    ``langs`` keeps the posts of these languages; ``options`` go to the archive reader, a tree has none.
+    """
     if source == "dump":
-        return P.parse_posts(read_archive(spark, path, **options), keep_raw=keep_raw)
+        posts = P.parse_posts(read_archive(spark, path, **options), keep_raw=keep_raw)
+        return posts.where(F.col("lang").isin(langs)) if langs is not None else posts
     if source == "repack":
+        if options:
+            raise TypeError(f"a repacked tree has no options {sorted(options)}")
         lines = read_repacked_tree(spark, path, langs=langs)
         return P.parse_posts(lines.withColumnRenamed("lang", "folder_lang"), keep_raw=keep_raw)
     raise ValueError(f"unknown source {source!r}")

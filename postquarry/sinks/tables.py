@@ -72,7 +72,8 @@ def write_by(df: DataFrame, path: str, partition_cols: list[str], fmt: str = "pa
 
 
 def write_post_index(index: DataFrame, path: str) -> None:
-    write_by(index, path, ["language"])
+    """By month as well, so that indexing one month leaves the others as they are."""
+    write_by(index, path, ["year_created", "month_created", "language"])
 
 
 def write_candidates(candidates: DataFrame, path: str) -> None:

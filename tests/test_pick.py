@@ -132,3 +132,9 @@ def test_new_days_with_and_without_a_list(spark, monkeypatch):
     assert sorted(r["id"] for r in B.new_days(df, known.limit(0)).collect()) == [1, 2, 3]
     monkeypatch.setattr(B, "LISTED_DAYS", 0)
     assert sorted(r["id"] for r in B.new_days(df, known).collect()) == want
+
+
+def test_null_keys_are_never_sampled(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3), ("c", 4), ("a", 5)], "k string, o int")
+    for direct in (100, 0):
+        assert {r["k"] for r in B.sample_distinct(df, "k", 3, 1, ["o"], direct=direct).collect()} == {"a", "b", "c"}

@@ -97,3 +97,11 @@ def test_relevance_collection(spark, tmp_path):
     got = S.read_relevance(spark, str(tmp_path)).collect()
     assert [r["words"] for r in got] == [["forest", "water"], ["x"]]
     assert got[0]["location"] == ["repack-2022-02", "20220201", "en", "3"] and '"id":5' in got[0]["post"].replace(" ", "")
+
+
+def test_null_reference_vectors_are_left_out(spark, rows):
+    posts = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "k int, v array<double>")
+    refs = spark.createDataFrame([("a", "h", [1.0, 0.1]), ("b", "b", None), ("c", "b", [0.0, 1.0])], "ref_id string, label string, vec array<double>")
+    got = R.nearest(posts, "k", "v", refs, k=2)
+    assert [r[:3] for r in rows(got, "rank")] == [(1, 1, "a"), (1, 2, "c")]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
