@@ -108,8 +108,9 @@ def fleiss_kappa(items: DataFrame, answers: DataFrame, domains: Domains, item: s
     not-coded cell of an item is n - s_i. Its square expands to n^2 - 2 n s_i + s_i^2,
     so the statistic needs only plain sums over items: they are combined map-side and n
     enters at the end, once per question. Undefined (null) for n < 2 or when chance
-    agreement is 1.
+    agreement is 1. Answers on anything but the items do not count.
     """
+    answers = answers.join(items.select(F.col(item).alias("item")).distinct(), "item", "left_semi")
     classes = sorted({code for domain in domains.values() for code in domain})
     per_item = answers.groupBy("question", "item").agg(
         *[F.count_if(F.col("answer") == c).cast("double").alias(f"c{i}") for i, c in enumerate(classes)]

@@ -14,6 +14,10 @@ from pyspark.sql.window import Window
 from postquarry.session import ship_package
 
 
+# Marks of a path that also occur in a key; a lone backslash stands for the empty key.
+ESCAPES = str.maketrans({"\\": "\\\\", ".": "\\.", "[": "\\["})
+
+
 def _type_name(value: object) -> str:
     if value is None:
         return "null"
@@ -36,7 +40,8 @@ def _count_value(value: object, path: str, parent: str | None, batch: object, se
     seen[batch, path, parent, _type_name(value)] += 1
     if isinstance(value, dict):
         for key, inner in value.items():
-            _count_value(inner, f"{path}.{key}" if path else key, path, batch, seen)
+            name = key.translate(ESCAPES) or "\\"
+            _count_value(inner, f"{path}.{name}" if path else name, path, batch, seen)
     elif isinstance(value, list):
         for inner in value:
             _count_value(inner, f"{path}[]", None, batch, seen)
@@ -46,7 +51,7 @@ def key_presence(df: DataFrame, json_col: str, batch_col: str | None = None) ->
     """Merged shape of JSON objects: ``[batch,] path, type, n, required``.
 
     ``path`` is dotted, ``[]`` stands for the elements of a list and the empty path for
-    the object itself. ``required``: the key is in every object that could hold it.
+    the object itself; a dot, ``[`` or backslash in a key has a backslash before it. ``required``: the key is in every object that could hold it.
     Nesting has no depth limit, so the walk is a small helper inside the tasks; each
     batch is reduced to its distinct (path, type) pairs before the shuffle. Text that is
     not JSON counts as type ``malformed``.
@@ -80,14 +85,16 @@ def key_presence(df: DataFrame, json_col: str, batch_col: str | None = None) ->
         .withColumn("required", F.coalesce(F.col("_at_path") == F.col("_objects"), F.lit(False)))
     )
     columns = ["path", "type", "n", "required"]
-    return shaped.select(F.col("batch").alias(batch_col), *columns) if batch_col else shaped.select(*columns)
+    if not batch_col:
+        return shaped.select(*columns)
+    return shaped.select(F.col("batch").cast(df.schema[batch_col].dataType).alias(batch_col), *columns)
 
 
 def schema_drift(presence: DataFrame, batch_col: str) -> DataFrame:
     """What changed from one batch to the next: ``batch, path, type, change``.
 
     Changes: ``added``, ``removed``, ``now required``, ``now optional``. Batches follow
-    the order of their names; the previous batch is found over the list of batches, one
+    the order of their own type; the previous batch is found over the list of batches, one
     row each.
     """
     batches = presence.select(F.col(batch_col).alias("batch")).distinct()

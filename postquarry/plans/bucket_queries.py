@@ -193,7 +193,7 @@ def event_archive(spark: SparkSession, sf: str) -> str:
     return path
 
 
-@query("S1 S3 S8", "SELECT event_id, user_id, event_type, value, props, ts FROM events")
+@query("S1 S3", "SELECT event_id, user_id, event_type, value, props, ts FROM events")
 def archive_scan(spark, sf):
     lines = read_archive(spark, event_archive(spark, sf), sliceBytes=1 << 16)
     events = lines.select(F.from_json("value", EVENT_JSON).alias("e")).select("e.*")

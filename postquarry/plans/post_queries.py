@@ -372,4 +372,5 @@ def key_presence(spark, sf):
     WHERE c.req IS DISTINCT FROM o.req""")
 def schema_drift(spark, sf):
     rows = table(spark, sf, "conversations").select("turn", F.to_json(F.create_map("role", "text")).alias("value"))
-    return SH.schema_drift(SH.key_presence(rows, "value", "turn"), "turn")
+    drift = SH.schema_drift(SH.key_presence(rows, "value", "turn"), "turn")
+    return drift.withColumn("turn", F.col("turn").cast("string"))

@@ -19,7 +19,10 @@ from postquarry.operators import stats as ST
 from postquarry.session import materialize
 from postquarry.sinks import tables as K
 from postquarry.sources.archive import read_archive
-from postquarry.sources.files import read_repacked_tree
+from postquarry.sources.files import list_partition_values, read_repacked_lines, read_repacked_tree
+
+#: Why the filter stage rejected a row; null for the rows that go on.
+REJECT = "reject_reason"
 
 
 @dataclass
@@ -27,38 +30,48 @@ class Stage:
     """``apply`` turns the incoming table into what the next stage sees.
 
     ``requires`` are columns the incoming table must have. A sink writes and hands its
-    input on, so every sink of a run is carried out.
+    input on, so every sink of a run is carried out. Rejected rows, with their reason, reach only
+    stages that ask for them (``sees_rejected``).
     """
 
     name: str
     apply: Callable[[DataFrame], DataFrame]
     requires: list[str] = field(default_factory=list)
+    sees_rejected: bool = False
+    is_sink: bool = False
 
 
-def sink(name: str, write: Callable[[DataFrame], None], requires: list[str] | None = None) -> Stage:
+def sink(name: str, write: Callable[[DataFrame], None], requires: list[str] | None = None, sees_rejected: bool = False) -> Stage:
     def apply(df: DataFrame) -> DataFrame:
         write(df)
         return df
 
-    return Stage(name, apply, requires or [])
+    return Stage(name, apply, requires or [], sees_rejected, is_sink=True)
+
+
+def accepted(df: DataFrame) -> DataFrame:
+    return FL.accepted(df, REJECT) if REJECT in df.columns else df
 
 
 def _filter(langs: list[str], filter_sensitive: bool = False, filter_no_location: bool = False) -> Stage:
     def apply(df: DataFrame) -> DataFrame:
         rules = FL.post_rules(langs, filter_sensitive, filter_no_location)
-        return FL.accepted(FL.with_reject_reason(df, rules))
+        earlier = F.col(REJECT) if REJECT in df.columns else F.lit(None).cast("string")
+        return FL.with_reject_reason(df, rules, "_found").withColumn(REJECT, F.coalesce(earlier, "_found")).drop("_found")
 
-    return Stage("filter", apply, ["lang", *P.ORIGIN_MARKERS])
+    return Stage("filter", apply, ["lang", *P.ORIGIN_MARKERS], sees_rejected=True)
 
 
 def _stats(path: str, collect_hashtags: bool = False) -> Stage:
     def write(df: DataFrame) -> None:
-        K.write_stats(ST.hierarchy_counts(df, ["archive", "member"]), f"{path}/levels")
+        # The sum over all dumps is left to the reader: a run holds some of them.
+        levels = ST.hierarchy_counts(df, ["dump", "archive", "member"], reject_col=REJECT if REJECT in df.columns else None)
+        K.write_stats(levels.where("level_mask < 8"), f"{path}/levels", ("dump",))
         if collect_hashtags:
-            tags = df.withColumn("tags", P.hashtags(df["entities"]))
-            K.write_tag_counts(ST.frequency(tags, ["lang"], "tags"), f"{path}/hashtags")
+            tags = accepted(df).withColumn("tags", P.hashtags(F.col("entities")))
+            K.write_tag_counts(ST.frequency(tags, ["dump", "lang"], "tags"), f"{path}/hashtags", by=("dump",))
 
-    return sink("stats", write, ["archive", "member", "lang"])
+    return sink("stats", write, ["dump", "archive", "member", "lang"], sees_rejected=True)
 
 
 def _index(path: str, tz: str = "UTC") -> Stage:
@@ -82,15 +95,17 @@ def _annotation(path: str, year: int, month: int, skip_minutes: int = 0, tz: str
     return sink("annotation", write, ["timestamp_ms", "lang", *PK.LOCATION])
 
 
-def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True, skip_existing_days: bool = True, tz: str = "UTC", raw_col: str | None = "value") -> Stage:
+def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True, skip_existing_days: bool = True, tz: str = "UTC") -> Stage:
+    """Lines with their place in the source, as ``read_posts("repack")`` reads them; days of archives are kept apart."""
+
     def write(df: DataFrame) -> None:
         K.repack(
-            df.withColumn("_ts", TM.event_time(F.col("timestamp_ms"), tz)), path, "_ts", ["_ts", *PK.LOCATION],
+            df.select(*PK.LOCATION, "lang", "value", TM.event_time(F.col("timestamp_ms"), tz).alias("_ts")), path, "_ts", ["_ts", *PK.LOCATION],
             time_group_resolution, "gzip" if gzip_files else "none", "skip" if skip_existing_days else "overwrite",
-            raw_col=raw_col,
+            origin_col="archive",
         )
 
-    return sink("repack", write, ["timestamp_ms", "lang", *PK.LOCATION])
+    return sink("repack", write, ["timestamp_ms", "lang", "value", *PK.LOCATION])
 
 
 def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz: str = "UTC") -> Stage:
@@ -123,7 +138,7 @@ def _schema(path: str, json_col: str = "value") -> Stage:
 
 def _pin() -> Stage:
     """Write the posts so far to the shared folder, so that later sinks do not unpack the source again."""
-    return Stage("pin", lambda df: materialize(df, "posts"))
+    return Stage("pin", lambda df: materialize(df, "posts"), sees_rejected=True)
 
 
 def _media_filter() -> Stage:
@@ -155,27 +170,38 @@ def build_stages(selection: list[tuple[str, dict[str, Any]]], registry: dict[str
 
 
 def run_stages(df: DataFrame, stages: list[Stage]) -> DataFrame:
-    """Pass the table through the stages; a stage whose columns are missing is an error."""
+    """Pass the table through the stages and return the accepted rows; a stage whose columns are missing is an error.
+
+    A stage that is no sink and does not see rejected rows ends their way: put ``stats`` before it.
+    """
     for stage in stages:
         missing = [c for c in stage.requires if c not in df.columns]
         if missing:
             raise ValueError(f"stage {stage.name!r} needs columns {missing}")
-        df = df.transform(stage.apply)
-    return df
+        if stage.sees_rejected:
+            df = stage.apply(df)
+        elif stage.is_sink:
+            stage.apply(accepted(df))
+        else:
+            df = stage.apply(accepted(df))
+    return accepted(df)
 
 
 def read_posts(spark: SparkSession, source: str, path: str, langs: list[str] | None = None, keep_raw: bool = False, **options: Any) -> DataFrame:
-    """Posts with location from ``dump`` (archives) or ``repack`` (a plain repacked tree).
+    """Posts with location from ``dump`` (archives) or ``repack`` (what the repack stage wrote, or a plain repacked tree).
 
-    ``langs`` keeps the posts of these languages; ``options`` go to the archive reader, a tree has none.
+    ``langs`` keeps the posts of these languages; ``options`` go to the archive reader, a repacked
+    source has ``months``.
     """
     if source == "dump":
         posts = P.parse_posts(read_archive(spark, path, **options), keep_raw=keep_raw)
         return posts.where(F.col("lang").isin(langs)) if langs is not None else posts
     if source == "repack":
+        months = options.pop("months", None)
         if options:
-            raise TypeError(f"a repacked tree has no options {sorted(options)}")
-        lines = read_repacked_tree(spark, path, langs=langs)
+            raise TypeError(f"a repacked source has no options {sorted(options)}")
+        own = not list_partition_values(spark, path, "origin").isEmpty()
+        lines = (read_repacked_lines if own else read_repacked_tree)(spark, path, months=months, langs=langs)
         return P.parse_posts(lines.withColumnRenamed("lang", "folder_lang"), keep_raw=keep_raw)
     raise ValueError(f"unknown source {source!r}")
 

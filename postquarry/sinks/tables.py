@@ -31,6 +31,7 @@ def repack(
     tz: str = "UTC",
     raw_col: str | None = None,
     bucket_folders: bool = False,
+    origin_col: str | None = None,
 ) -> None:
     """Write lines under ``day/lang`` folders, in order of bucket and ``order_cols``.
 
@@ -39,8 +40,11 @@ def repack(
     per bucket: one file per quarter of an hour and language, which is fine for one month
     and far too many files for many years.
 
-    ``existing``: ``skip`` leaves days the output already has untouched, ``overwrite``
-    replaces the folders that occur. Rows are rebalanced by folder: small ones share a
+    ``origin_col`` names what the rows were read from (the archive's day) and puts a folder
+    ``origin`` above the others. ``existing`` then goes by it: ``skip`` leaves out rows of origins that the output
+    holds, ``overwrite`` replaces the folders of the origins that occur. A row that an archive holds of the day
+    before stands beside that day's own rows and replaces none of them. Without it both go by the day of
+    the rows, so a run must hold whole days. Rows are rebalanced by folder: small ones share a
     task, and one larger than the advisory size is split over several tasks and files
     instead of going through one.
     """
@@ -49,10 +53,13 @@ def repack(
     if existing not in ("skip", "overwrite"):
         raise ValueError("existing must be skip or overwrite")
     rows = repack_rows(df, ts_col, minutes, tz)
-    if existing == "skip":
-        rows = new_days(rows, list_partition_values(df.sparkSession, root, "day"))
     keys = ["day", "lang", "bucket"]
     folders = keys if bucket_folders else keys[:2]
+    if origin_col:
+        rows = rows.withColumn("origin", F.col(origin_col).cast("string"))
+        keys, folders = ["origin", *keys], ["origin", *folders]
+    if existing == "skip":
+        rows = new_days(rows, list_partition_values(df.sparkSession, root, folders[0]), folders[0])
     placed = rows.hint("rebalance", *folders).sortWithinPartitions(*keys, *order_cols)
     if raw_col:
         placed = placed.select(F.col(raw_col).alias("value"), *folders)
@@ -89,9 +96,9 @@ def write_relevant(relevant: DataFrame, path: str, ts_col: str, lang_col: str =
     write_by(relevant.withColumn("ym", TM.year_month(F.col(ts_col))), path, ["ym", lang_col], "json", "append")
 
 
-def write_stats(levels: DataFrame, path: str) -> None:
-    """The level table, one folder per level."""
-    write_by(levels, path, ["level_mask"])
+def write_stats(levels: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """The level table, one folder per level, below folders of ``by``: what a run does not hold stays."""
+    write_by(levels, path, [*by, "level_mask"])
 
 
 def nested_stats(finest: DataFrame, archive: str, member: str, lang: str, total: str = "total") -> DataFrame:
@@ -117,8 +124,8 @@ def nested_stats(finest: DataFrame, archive: str, member: str, lang: str, total:
     return items.join(accepted, archive).select(archive, document.alias("stats"))
 
 
-def write_tag_counts(counts: DataFrame, path: str, lang_col: str = "lang") -> None:
-    write_by(counts, path, [lang_col])
+def write_tag_counts(counts: DataFrame, path: str, lang_col: str = "lang", by: tuple[str, ...] = ()) -> None:
+    write_by(counts, path, [*by, lang_col])
 
 
 def write_tasks(tasks: DataFrame, path: str, rewrite: bool = True) -> None:

@@ -14,11 +14,12 @@ to the task's local disk.
 
 Options
     sliceBytes            bytes of archive per task (default 256 MiB)
-    maxArchives           only the first archives of every dump, by name
-    maxMembersPerArchive  only the first members of every archive, by stem
     dump, archive, member only this dump / archive / member (also pushed from filters;
                           several members separated by ``|``)
-    badMember             skip (default), fail or report
+    badMember             fail (default), report or skip
+
+What is damaged hides nothing else: behind a broken header the walk goes on at the next block that is
+a header, and the members before a cut stay. ``fail`` and ``report`` show every such place.
 """
 
 from __future__ import annotations
@@ -118,6 +119,53 @@ def unpack(source: BinaryIO, name: str) -> BinaryIO:
     return spool
 
 
+def is_blank(raw: BinaryIO, start: int, end: int) -> bool:
+    """Whether a file holds nothing but zero bytes from ``start`` to ``end``."""
+    raw.seek(start)
+    while start < end:
+        part = raw.read(min(1 << 20, end - start))
+        if not part or part.strip(b"\0"):
+            return not part
+        start += len(part)
+    return True
+
+
+def walk_members(raw: BinaryIO, size: int) -> tuple[tarfile.TarFile | None, list[tarfile.TarInfo], list[tuple[int, str]]]:
+    """An open tar file, its members and its faults, as (offset, message), none of which ends the walk.
+
+    What lies between two members must be blank, else a header is broken there; the file must go on behind
+    its last member, with the blank blocks that mark the end.
+    """
+    members: list[tarfile.TarInfo] = []
+    faults: list[tuple[int, str]] = []
+    try:
+        tar = tarfile.open(fileobj=raw, mode="r:", ignore_zeros=True)
+    except tarfile.ReadError as error:
+        return None, [], [(0, str(error))]
+    expected = 0
+    while True:
+        try:
+            member = tar.next()
+        except tarfile.ReadError as error:
+            faults.append((tar.offset, str(error)))
+            if tar.offset >= size:
+                return tar, members, faults
+            tar.offset += tarfile.BLOCKSIZE
+            expected = tar.offset
+            continue
+        place = raw.tell()
+        if not is_blank(raw, expected, member.offset if member else size):
+            faults.append((expected, "broken header"))
+        raw.seek(place)
+        if member is None:
+            break
+        members.append(member)
+        expected = tar.offset
+    if members and expected >= size:
+        faults.append((size, "no end mark"))
+    return tar, members, faults
+
+
 class LineReader(DataSourceReader):
     """What both layouts share: location filters, unpacking, batches of lines."""
 
@@ -126,7 +174,7 @@ class LineReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.root = options["path"]
         self.slice_bytes = int(options.get("slicebytes", 256 << 20))
-        self.bad_member = options.get("badmember", "skip")
+        self.bad_member = options.get("badmember", "fail")
         if self.bad_member not in ("skip", "fail", "report"):
             raise ValueError(f"badMember must be skip, fail or report, not {self.bad_member!r}")
         self.wanted: dict[str, set[str]] = {}
@@ -188,18 +236,9 @@ class LineReader(DataSourceReader):
 class TarJsonlReader(LineReader):
     location = ("dump", "archive", "member")
 
-    def __init__(self, options: dict[str, str]) -> None:
-        super().__init__(options)
-        self.max_archives = int(options.get("maxarchives", 0))
-        self.max_members = int(options.get("maxmembersperarchive", 0))
-
     def partitions(self) -> list[ArchiveSlice]:
         slices: list[ArchiveSlice] = []
-        per_dump: dict[str, int] = {}
         for path, dump, archive, size in list_archives(self.root):
-            per_dump[dump] = per_dump.get(dump, 0) + 1
-            if self.max_archives and per_dump[dump] > self.max_archives:
-                continue
             if self._is_wanted(dump=dump, archive=archive):
                 count = max(1, -(-size // self.slice_bytes))
                 slices += [ArchiveSlice(path, dump, archive, i, count) for i in range(count)]
@@ -211,20 +250,18 @@ class TarJsonlReader(LineReader):
         found = {"dump": partition.dump, "archive": partition.archive}
         fs, _ = open_folder(self.root)
         with fs.open_input_file(partition.path) as raw:
-            try:
-                with tarfile.open(fileobj=raw, mode="r:") as tar:
-                    members = [m for m in tar.getmembers() if m.isfile() and m.name.endswith(MEMBER_ENDINGS)]
-                    members.sort(key=lambda m: (member_stem(m.name), m.name))
-                    if self.max_members:
-                        members = members[:self.max_members]
-                    for member in members[partition.index::partition.count]:
-                        if self._is_wanted(member=member.name):
-                            yield from self._lines(tar.extractfile(member), {**found, "member": member.name})
-            except tarfile.ReadError as error:
+            tar, members, faults = walk_members(raw, raw.size())
+            for offset, message in faults:
+                text = f"{partition.path}, byte {offset}: {message}"
                 if self.bad_member == "fail":
-                    raise
+                    raise tarfile.ReadError(text)
                 if self.bad_member == "report" and partition.index == 0:
-                    yield self._batch({**found, "member": ""}, [-1], [None], str(error))
+                    yield self._batch({**found, "member": ""}, [-1], [None], text)
+            members = [m for m in members if m.isfile() and m.name.endswith(MEMBER_ENDINGS)]
+            members.sort(key=lambda m: (member_stem(m.name), m.name))
+            for member in members[partition.index::partition.count]:
+                if self._is_wanted(member=member.name):
+                    yield from self._lines(tar.extractfile(member), {**found, "member": member.name})
 
 
 class TreeReader(LineReader):

@@ -49,6 +49,19 @@ def read_repacked_tree(
     return read_tree(spark, root, **options)
 
 
+def read_repacked_lines(spark: SparkSession, root: str, months: list[str] | None = None, langs: list[str] | None = None) -> DataFrame:
+    """What the repack stage wrote: ``dump, archive, member, line_no`` of the source, ``value, bucket, origin, day, lang``.
+
+    Months (of the day) and languages prune the folders.
+    """
+    names = ["dump", "archive", "member", "value", "bucket", "origin", "day", "lang"]
+    schema = ", ".join([*[f"{name} STRING" for name in names], "line_no BIGINT"])
+    df = spark.read.schema(schema).json(root)
+    if months:
+        df = df.where(F.substring("day", 1, 6).isin([m.replace("-", "") for m in months]))
+    return df.where(F.col("lang").isin(langs)) if langs else df
+
+
 def repack_tree_index(spark: SparkSession, root: str, langs: list[str] | None = None) -> DataFrame:
     """Rows per file of a plain tree, with the bucket time and date parts from the file name."""
     lang_glob = "{" + ",".join(langs) + "}" if langs else "*"

@@ -97,6 +97,8 @@ def test_full_agreement_is_one_and_single_class_is_undefined(spark):
     same = full.withColumn("answer", F.lit("a"))
     assert AN.fleiss_kappa(items, same, {"q": ["a", "b"]}).first()["kappa"] is None
     assert AN.fleiss_kappa(items, full.where("coder = 'x'"), {"q": ["a", "b"]}).first()["kappa"] is None
+    elsewhere = full.withColumn("item", F.lit(-1).cast(full.schema["item"].dataType)).withColumn("answer", F.lit("b"))
+    assert tuple(AN.fleiss_kappa(items, full.unionByName(elsewhere), {"q": ["a", "b"]}).first()) == tuple(row)
 
 
 def test_bands(spark):

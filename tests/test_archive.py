@@ -1,10 +1,19 @@
 from __future__ import annotations
 
+import gzip
+import tarfile
+
 import pytest
-from post_fixtures import small_archive
+from post_fixtures import json_lines, post, small_archive, write_tar
 from pyspark.sql import functions as F
 
-from postquarry.sources.archive import lookup_lines, read_archive
+from postquarry.sources import archive as AR
+from postquarry.sources.archive import lookup_lines
+
+
+def read_archive(spark, root, **options):
+    """The small archive holds damaged members."""
+    return AR.read_archive(spark, root, **{"badMember": "skip", **options})
 
 
 @pytest.fixture(scope="module")
@@ -37,10 +46,44 @@ def test_slices_share_the_members(spark, root):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, sliced.collect()))
 
 
-def test_limits(spark, root):
-    assert ids(read_archive(spark, root, maxArchives=1)) == [1, 2, 3, 4, 5]
-    assert ids(read_archive(spark, root, maxMembersPerArchive=2)) == [1, 2, 6, 7]
-    assert ids(read_archive(spark, root, maxArchives=1, maxMembersPerArchive=1)) == [1]
+@pytest.fixture
+def five(tmp_path):
+    """An archive of five members, with their headers."""
+    path = tmp_path / "stream-2022-03" / "stream-20220301.tar"
+    write_tar(path, [(f"d/2022030100000{i}.json.gz", gzip.compress(json_lines([post(i)]).encode())) for i in range(5)])
+    with tarfile.open(path) as tar:
+        return path, tar.getmembers()
+
+
+def check_damage(spark, path, kept, reported):
+    root = str(path.parent.parent)
+    for size in (512, 256 << 20):
+        assert ids(read_archive(spark, root, sliceBytes=size)) == kept
+        report = read_archive(spark, root, sliceBytes=size, badMember="report")
+        assert ids(report) == kept and report.where("member_error IS NOT NULL").count() == reported
+    with pytest.raises(Exception, match="(?i)broken header|end"):
+        AR.read_archive(spark, root).count()
+
+
+def test_a_cut_archive_keeps_its_whole_members(spark, five):
+    path, members = five
+    path.write_bytes(path.read_bytes()[: members[-1].offset_data + members[-1].size // 2])
+    check_damage(spark, path, [0, 1, 2, 3], 2)
+
+
+def test_an_archive_cut_between_members_is_seen(spark, five):
+    path, members = five
+    path.write_bytes(path.read_bytes()[: members[3].offset])
+    check_damage(spark, path, [0, 1, 2], 1)
+
+
+@pytest.mark.parametrize("broken", [0, 2, 4])
+def test_a_broken_header_hides_its_member_only(spark, five, broken):
+    path, members = five
+    data = bytearray(path.read_bytes())
+    data[members[broken].offset : members[broken].offset + 512] = b"\xff" * 512
+    path.write_bytes(data)
+    check_damage(spark, path, [i for i in range(5) if i != broken], 1)
 
 
 def test_damaged_members_are_reported_or_fail(spark, root):
@@ -75,7 +118,7 @@ def test_lookup_by_location(spark, root, max_members):
         ("2022-01", "20220101", "20220101/20220101000200.json.gz", 3, 1),
         ("2022-01", "20220101", "20220101/20220101000200.json.gz", 77, 2),
     ], "dump STRING, archive STRING, member STRING, line_no BIGINT, req_pos INT")
-    found = lookup_lines(spark, root, asked, max_members)
+    found = lookup_lines(spark, root, asked, max_members, badMember="skip")
     assert [(r["req_pos"], r["id"]) for r in found.select("req_pos", F.get_json_object("value", "$.id").alias("id")).orderBy("req_pos").collect()] == [(0, "7"), (1, "4")]
 
 

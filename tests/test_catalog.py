@@ -38,7 +38,7 @@ def test_shape_union(spark):
     assert got["town", "string"] == (2, True) and got["floors", "integer"] == (1, False) and got["roof", "string"] == (1, False)
     assert got["deep", "object"] == (1, False) and got["deep.er", "array"] == (1, True) and got["deep.er[]", "object"] == (2, False)
     assert got["deep.er[].k", "integer"] == (1, True) and got["deep.er[].k", "number"] == (1, True) and got["deep.er[].j", "boolean"] == (1, False)
-    assert got["a.b", "null"] == (1, False) and got["", "object"] == (2, False)
+    assert got["a\\.b", "null"] == (1, False) and got["", "object"] == (2, False)
 
 
 def test_shape_has_no_depth_limit_and_counts_malformed(spark):
@@ -55,11 +55,23 @@ def test_drift(spark):
     presence = SH.key_presence(shape(spark, objects, [1, 1, 2, 2, 3]), "value", "batch")
     got = {tuple(r) for r in SH.schema_drift(presence, "batch").collect()}
     assert got == {
-        ("2", "b", "integer", "now optional"), ("2", "c", "string", "added"),
-        ("3", "a", "integer", "removed"), ("3", "b", "integer", "removed"), ("3", "c", "string", "now required"),
+        (2, "b", "integer", "now optional"), (2, "c", "string", "added"),
+        (3, "a", "integer", "removed"), (3, "b", "integer", "removed"), (3, "c", "string", "now required"),
     }
 
 
+def test_drift_goes_by_the_order_of_numbers(spark):
+    objects = [{"a": 1}] * 9 + [{"a": 1, "b": 1}] * 3
+    presence = SH.key_presence(shape(spark, objects, list(range(1, 13))), "value", "batch")
+    assert {tuple(r) for r in SH.schema_drift(presence, "batch").collect()} == {(10, "b", "integer", "added")}
+
+
+def test_marks_in_keys_are_told_from_paths(spark):
+    objects = [{"a.b": 1, "a": {"b": 2}, "a[]": 3, "": 4, "c\\": 5}]
+    got = {r["path"] for r in SH.key_presence(shape(spark, objects), "value").where("type = 'integer'").collect()}
+    assert got == {"a\\.b", "a.b", "a\\[]", "\\", "c\\\\"}
+
+
 def test_partition_values_without_reading(spark, tmp_path):
     root = str(tmp_path / "t")
     assert S.list_partition_values(spark, root, "day").count() == 0

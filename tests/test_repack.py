@@ -47,6 +47,17 @@ def test_existing_days_are_skipped_or_replaced(spark, posts, tmp_path):
     assert S.read_repacked(spark, root).count() == 15
 
 
+@pytest.mark.parametrize("existing", ["skip", "overwrite"])
+def test_late_rows_of_another_archive_replace_nothing(spark, posts, tmp_path, existing):
+    root = str(tmp_path / "out")
+    first = posts.where("day(ts) = 1").withColumn("archive", F.lit("20220101"))
+    second = posts.where("id < 3").unionByName(posts.where("day(ts) = 2")).withColumn("archive", F.lit("20220102"))
+    for rows in (first, second, second):
+        K.repack(rows, root, "ts", ["line_no"], existing=existing, raw_col="value", origin_col="archive")
+    back = spark.read.text(root).groupBy("origin", "day").count().orderBy("origin", "day").collect()
+    assert [(r["day"], r["count"]) for r in back] == [(20220101, 12), (20220101, 3), (20220102, 3)]
+
+
 def test_options_that_lose_data_do_not_exist(posts, tmp_path):
     with pytest.raises(ValueError):
         K.repack(posts, str(tmp_path), "ts", [], compression="delete")
