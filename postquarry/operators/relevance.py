@@ -32,13 +32,14 @@ def match_words(
     min_words: int = 2,
     word_col: str = "word",
 ) -> DataFrame:
-    """Rows whose text holds at least ``min_words`` words of the list.
+    """Rows whose text holds at least ``min_words`` words of the list, and one in any case.
 
     Whole words, case ignored, each word counted once. Returns the key columns (which
     identify a row), the sorted ``words`` and their number. A short Python list is intersected inside the
     row without any shuffle. A table is equi-joined on the word; its size is measured, and
     while it is small it is broadcast, so that only the hits are shuffled.
     """
+    min_words = max(1, min_words)
     keyed = df.select(*key_cols, tokens(F.col(text_col)).alias("_tokens"))
     if not isinstance(words, DataFrame):
         listed = sorted({w.lower() for w in words} - {""})

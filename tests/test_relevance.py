@@ -105,3 +105,10 @@ def test_null_reference_vectors_are_left_out(spark, rows):
     got = R.nearest(posts, "k", "v", refs, k=2)
     assert [r[:3] for r in rows(got, "rank")] == [(1, 1, "a"), (1, 2, "c")]
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_a_row_without_a_hit_never_matches(spark, as_table):
+    df = spark.createDataFrame([(1, "red sea"), (2, "blue"), (3, None)], "k INT, t STRING")
+    words = spark.createDataFrame([("red",)], "word STRING") if as_table else ["red"]
+    assert [tuple(r) for r in R.match_words(df, ["k"], "t", words, 0).collect()] == [(1, ["red"], 1)]
