@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,16 +23,19 @@ from pyspark.sql.window import Window
 from postquarry.llm.common import bucket_of, on_exit, range_bounds, shuffle_width
 from postquarry.session import scratch_path, ship_package
 
-CACHED_UNITS, JOINED_UNITS = 500_000, 256
+KEPT_WORDS, JOINED_WORDS, BATCH_BYTES = 1_000_000, 256, 8 << 20
+
+# A byte-level tokenizer cuts before a space that a letter, a digit or a printable ASCII sign follows.
+CUT, NO_CUT = r" ([!-~\p{L}\p{N}])", r" (?:[^!-~\p{L}\p{N}]|$)"
 
 
 class Encoder:
-    """A tokenizer with a memory for the pieces of texts.
+    """A tokenizer with a memory for words.
 
-    A byte-level tokenizer cuts before every space that a letter, digit or mark follows, so the units
-    between such cuts are encoded once and remembered. New units are put together, encoded as one text and
-    told apart by the bytes that their ids stand for. Any other tokenizer is given whole texts. The
-    memory is emptied when it is full.
+    Texts are cut by Arrow before the spaces where a byte-level tokenizer cuts in any case, so a word with its
+    space is encoded once and remembered. New words are put together, encoded as one text and told
+    apart by the bytes that their ids stand for. Any other tokenizer is given whole texts. The
+    memory, a string array with the ids beside it, is emptied when it is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,48 +57,73 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token.encode()) if token in added else len(token)
-        self.units: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
     def _ask(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(f.ids, "<u4") for f in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str]) -> None:
-        alone = [u for u in units if u[0] != " "]
-        self.units.update(zip(alone, (ids.tobytes() for ids in self._ask(alone))))
-        spaced = [u for u in units if u[0] == " "]
-        for k in range(0, len(spaced), JOINED_UNITS * 64):
-            groups = [spaced[j : j + JOINED_UNITS] for j in range(k, min(k + JOINED_UNITS * 64, len(spaced)), JOINED_UNITS)]
-            for group, ids in zip(groups, self._ask(["".join(g) for g in groups])):
-                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(u.encode()) for u in group])) + 1
-                start = 0
-                for unit, end in zip(group, ends.tolist()):
-                    self.units[unit] = ids[start:end].tobytes()
-                    start = end
+    def _learn(self, words: pa.StringArray) -> None:
+        """Add words, none of them known, to the memory."""
+        plain, ids = words.to_pylist(), [self.ids]
+        for k in range(0, len(plain), JOINED_WORDS * 64):
+            ends = range(k, min(k + JOINED_WORDS * 64, len(plain)), JOINED_WORDS)
+            ids += self._ask([" " + " ".join(plain[j : j + JOINED_WORDS]) for j in ends])
+        new = np.concatenate(ids[1:])
+        lengths = pc.add(pc.binary_length(words), 1).to_numpy()
+        ends = np.searchsorted(np.cumsum(self.bytes_of[new]), np.cumsum(lengths, dtype=np.int64)) + 1
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate([self.ids, new])
+        self.sizes = np.concatenate([self.sizes, np.diff(ends, prepend=0)])
+
+    def _places(self, words: pa.StringArray) -> np.ndarray:
+        """Places in the memory, where new words are added."""
+        found = pc.index_in(words, value_set=self.words)
+        missing = found.is_null()
+        new = words.filter(missing).unique()
+        if len(new) and len(self.words) and len(self.words) + len(new) > KEPT_WORDS:
+            self._forget()
+            return self._places(words)
+        if len(new):
+            base = len(self.words)
+            self._learn(new)
+            late = pc.add(pc.index_in(words.filter(missing), value_set=new), base)
+            found = pc.replace_with_mask(found, missing, late.cast(pa.int32()))
+        return found.to_numpy()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.splits:
-            return [ids.tobytes() for ids in self._ask(texts)]
-        split = [units_of(t) for t in texts]
-        if len(self.units) > CACHED_UNITS:
-            self.units.clear()
-        new = {u for units in split for u in units} - self.units.keys()
-        if new:
-            self._learn(list(new))
-        known = self.units
-        return [b"".join([known[u] for u in units]) for units in split]
-
-
-def units_of(text: str) -> list[str]:
-    """Pieces of a text that the tokenizer encodes independently; joined they are the text."""
-    parts = text.split(" ")
-    units = [parts[0]]
-    for part in parts[1:]:
-        if part and (part[0].isalnum() or "!" <= part[0] <= "~"):
-            units.append(" " + part)
+        ids, sizes = self.encode_array(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+    def encode_array(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        if not self.splits or not len(texts):
+            found = self._ask(texts.to_pylist())
+            return np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64)
+        if pc.any(pc.match_substring_regex(texts, NO_CUT)).as_py():
+            # Mark the cuts with a NUL; texts that hold one are not cut.
+            marked = pc.replace_substring_regex(texts, CUT, "\0\\1")
+            whole = pc.match_substring(texts, "\0")
+            parts = pc.split_pattern(pc.if_else(whole, "", marked), "\0")
+            heads = pc.if_else(whole, texts, parts.values.take(parts.offsets[:-1]))
         else:
-            units[-1] += " " + part
-    return units if units[0] else units[1:]
+            parts = pc.split_pattern(texts, " ")
+            heads = parts.values.take(parts.offsets[:-1])
+        first = parts.offsets.to_numpy()[:-1]
+        inside = np.ones(len(parts.values), bool)
+        inside[first] = False
+        at = np.empty(len(inside), np.int64)
+        at[inside] = self._places(parts.values.filter(pa.array(inside)))
+        at[first] = len(self.sizes) + np.arange(len(first))
+        starting = self._ask(heads.to_pylist())
+        ids, sizes = np.concatenate([self.ids, *starting]), np.concatenate([self.sizes, [len(f) for f in starting]])
+        each = sizes[at]
+        shift = (np.cumsum(sizes) - sizes)[at] - (np.cumsum(each) - each)
+        return ids[np.repeat(shift, each) + np.arange(each.sum())], np.add.reduceat(each, first)
 
 
 @lru_cache(maxsize=2)
@@ -107,7 +136,6 @@ def _encode_rows(path: str, end_id: int, order: pa.DataType):
         ("file", pa.int32()), ("key", order), ("doc_id", pa.int64()), ("local_start", pa.int64()), ("n_tokens", pa.int64()),
         ("ids", pa.list_(pa.int32())),
     ])
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, file, start = _encoder(path), None, 0
@@ -115,22 +143,22 @@ def _encode_rows(path: str, end_id: int, order: pa.DataType):
             texts = batch.column(3)
             k = 0
             while k < batch.num_rows:
-                # About a megabyte of text at a time, whatever the batch.
+                # Some megabytes of text at a time, whatever the batch.
                 n, size = 0, 0
-                while k + n < batch.num_rows and (n == 0 or size < 1 << 20):
+                while k + n < batch.num_rows and (n == 0 or size < BATCH_BYTES):
                     size += len(texts[k + n].as_buffer())
                     n += 1
                 part = batch.slice(k, n)
                 k += n
-                found = [b + end for b in encoder.encode(part.column(3).to_pylist())]
-                counts = [len(b) // 4 for b in found]
+                found, sizes = encoder.encode_array(part.column(3))
+                ids = pa.array(np.insert(found, np.cumsum(sizes), end_id).view("<i4"))
+                counts = (sizes + 1).tolist()
                 starts = []
                 for f, c in zip(part.column(0).to_pylist(), counts):
                     if f != file:
                         file, start = f, 0
                     starts.append(start)
                     start += c
-                ids = pa.array(np.frombuffer(b"".join(found), "<u4").view("<i4"))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(2), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()),
