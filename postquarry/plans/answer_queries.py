@@ -41,7 +41,7 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("item"))
 
 
-@query("A9 P17 F15 F16 P20 U1", f"""
+@query("A9 P17 F15 F16 P20", f"""
     WITH {LINES_SQL}, a AS (
         SELECT l_orderkey AS item, 'l_returnflag' AS question, CASE WHEN l_returnflag = 'R' THEN 'A' ELSE l_returnflag END AS answer, l_linenumber AS coder FROM lines
         UNION ALL SELECT l_orderkey, 'l_linestatus', l_linestatus, l_linenumber FROM lines)
@@ -128,7 +128,7 @@ def agreed_per_question(spark, sf):
     return AN.agreed(long_answers(spark, sf), DOMAINS, per_item=False)
 
 
-@query("A17 J8 K9", SPREAD_SQL + """
+@query("A17 J8", SPREAD_SQL + """
     SELECT o.o_orderkey, o.o_custkey, CASE WHEN question = 'l_returnflag' THEN lo END AS l_returnflag,
            CASE WHEN question = 'l_linestatus' THEN lo END AS l_linestatus
     FROM spread s JOIN orders o ON o.o_orderkey = s.item WHERE lo = hi AND item NOT IN (SELECT item FROM split)""")
@@ -194,7 +194,7 @@ def _choice_sql(question: str, option: str) -> str:
     )
 
 
-@query("A14 J9 J10 P21 P20 K10", f"WITH {EXPORT_SQL} SELECT id AS task, arg_min(part, annotator) AS part, " + ", ".join(
+@query("A14 J9 J10 P21 P20", f"WITH {EXPORT_SQL} SELECT id AS task, arg_min(part, annotator) AS part, " + ", ".join(
     _choice_sql(q, o) for q, options in CHOICES.items() for o in [*options, "000"]
 ) + " FROM export LEFT JOIN region ON r_regionkey = annotator WHERE annotation_id IS NOT NULL GROUP BY id")
 def wide_answers(spark, sf):

@@ -97,10 +97,12 @@ def sample_distinct(spark, sf):
 
 @query("J6 F12 U5 Q4", """
     SELECT event_id, strftime(ts, '%Y%m%d') AS day FROM events
-    WHERE strftime(ts, '%Y%m%d') NOT IN (SELECT strftime(ts, '%Y%m%d') FROM events WHERE value > 300)""")
+    WHERE strftime(ts, '%Y%m%d') NOT IN (SELECT strftime(o_orderdate + INTERVAL 305 MONTH + INTERVAL 14 DAY, '%Y%m%d') FROM orders)""")
 def new_days(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyyMMdd"))
-    return B.new_days(events, events.where("value > 300")).select("event_id", "day")
+    # The orders' days, moved so that they end within the events.
+    held = table(spark, sf, "orders").select(F.date_format(F.date_add(F.add_months("o_orderdate", 305), 14), "yyyyMMdd").alias("day"))
+    return B.new_days(events, held).select("event_id", "day")
 
 
 # Words of the relevance query: frequent words of the test texts.
@@ -168,7 +170,7 @@ def knn_filter(spark, sf):
     return R.drop_bots(posts, R.nearest(posts, "vec_id", "embedding", refs), "vec_id").select("vec_id")
 
 
-@query("U4 S15", """
+@query("U4", """
     SELECT CASE WHEN l.toxic = 1 THEN 'b_' ELSE 'h_' END || e.vec_id AS ref_id, CASE WHEN l.toxic = 1 THEN 'b' ELSE 'h' END AS label,
            CAST(len(e.embedding) AS INTEGER) AS dim
     FROM embeddings e JOIN labels l ON l.doc_id = e.vec_id""")

@@ -190,7 +190,7 @@ def hour_range(spark, sf):
     return hour.select("event_id", "ts", "event_type").orderBy("ts", "event_id")
 
 
-@query("P1 P3 P8 P13 K3", """
+@query("P1 P3 P8 P13", """
     SELECT 'twitter' AS platform, 'https://x.com/' || user_id || '/status/' || event_id AS post_url_computed,
            ts AS date_created, event_type AS language, event_id, strftime(ts, '%Y-%m') || '-' || event_type AS ym_lang,
            CAST(year(ts) AS INTEGER) AS year_created, CAST(month(ts) AS INTEGER) AS month_created,
@@ -221,7 +221,7 @@ def location_lookup(spark, sf):
     return PK.lookup(lines, requests, ["l_orderkey", "l_linenumber"])
 
 
-@query("P15 T1 W7 K8", """
+@query("P15 T1 W7", """
     SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS task_idx, text AS post_text,
            'https://x.com/' || role || '/status/' || conv_id AS post_url, role = 'assistant' AS has_media,
            CAST(NULL AS VARCHAR) AS image FROM conversations""")
@@ -264,7 +264,7 @@ def json_posts(spark: SparkSession, sf: str) -> DataFrame:
     return labelled_docs(spark, sf).select(value.alias("value"))
 
 
-@query("S4 P1 P2 P4 P5 P6 P7 P14 P23 F5 F6", """
+@query("S4 P1 P2 P4 P5 P6 P7 P23", """
     SELECT d.doc_id AS id, 'https://x.com/' || d.source || '/status/' || d.doc_id AS post_url,
            TIMESTAMP '2022-01-01 00:00:00' + to_seconds((999 + d.doc_id * 77777) // 1000) AS date_created,
            md5(d.text) AS text_md5,
@@ -319,19 +319,19 @@ def member_names(spark, sf):
     )
 
 
-@query("J7 K12", """
+@query("J7", """
     SELECT user_id, event_id, ts FROM events
-    WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+    WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""")
 def new_users(spark, sf):
-    known = table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user_id"))
+    known = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"))
     events = table(spark, sf, "events").select("user_id", "event_id", "ts")
     return C.new_rows(events, known, "user_id", ["ts", "event_id"])
 
 
-@query("S9 J11", """
+@query("J11", """
     WITH m AS (SELECT DISTINCT year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders),
-         s AS (SELECT DISTINCT year(l_shipdate) AS y, month(l_shipdate) AS m FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49),
+         s AS (SELECT DISTINCT year(l_shipdate) AS y, month(l_shipdate) AS m FROM lineitem),
          e AS (SELECT DISTINCT year(ts) AS y, month(ts) AS m FROM events)
     SELECT CAST(m.y AS INTEGER) AS year, CAST(m.m AS INTEGER) AS month, s.y IS NOT NULL AS stats, e.y IS NOT NULL AS index
     FROM m LEFT JOIN s ON m.y = s.y AND m.m = s.m LEFT JOIN e ON m.y = e.y AND m.m = e.m""")
@@ -340,8 +340,7 @@ def month_catalog(spark, sf):
         return df.select(F.year(col).alias("year"), F.month(col).alias("month"))
 
     listing = table(spark, sf, "orders").select(F.concat(F.lit("/data/stream-"), TM.year_month(F.col("o_orderdate"))).alias("path"))
-    shipped = table(spark, sf, "lineitem").where("l_returnflag = 'R' AND l_quantity > 49")
-    outputs = {"stats": months(shipped, "l_shipdate"), "index": months(table(spark, sf, "events"), "ts")}
+    outputs = {"stats": months(table(spark, sf, "lineitem"), "l_shipdate"), "index": months(table(spark, sf, "events"), "ts")}
     return C.month_catalog(C.months_found(listing), outputs)
 
 
