@@ -27,6 +27,8 @@ from postquarry.session import ship_package
 BAND = 1.5
 #: Shingles and sets of a part of a family; two parts meet in one task at a time.
 PART_SHINGLES, PART_SETS = 1_500_000, 3_000
+#: Step between the part numbers of two levels of size; a level has fewer parts than that.
+LEVEL = 1 << 24
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -278,7 +280,8 @@ def jaccard_groups(
 
     Copies, within a block of rows or anywhere, are joined once: only the row with the smallest id of each
     distinct set enters a family's join, with the number of rows behind it. A family that is too large
-    for one task is cut into parts by hash, and every two parts meet in a task of their own; no pair is left out.
+    for one task is cut into parts by size and hash, and every two parts of like sizes meet in a task of their own: no
+    pair that can be linked is left out.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent is 50 to 100")
@@ -301,13 +304,30 @@ def jaccard_groups(
         nodes.join(families, nodes["node"] == families["id"]).select("node", "a", "b", "n_shingles", "copies", F.col("component").alias("family")),
         "families",
     )
-    cut = members.groupBy("family").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("m")).where("m > 1").select(
-        "family", F.greatest(F.ceil(F.col("s") / PART_SHINGLES), F.ceil(F.col("m") / PART_SETS)).cast("int").alias("parts")
+    # A family that fits one task is one part; others are cut by binary length of the size, then by hash.
+    level = lambda size: F.length(F.bin(size))
+    parts_of = lambda s, m: F.greatest(F.ceil(s / PART_SHINGLES), F.ceil(m / PART_SETS)).cast("int")
+    cut = (
+        members.groupBy("family", level(F.col("n_shingles")).alias("level")).agg(F.sum("n_shingles").alias("s"), F.count("*").alias("m"))
+        .groupBy("family").agg(
+            parts_of(F.sum("s"), F.sum("m")).alias("all"), F.sum("m").alias("m"),
+            F.map_from_entries(F.collect_list(F.struct("level", parts_of(F.col("s"), F.col("m"))))).alias("parts"),
+        ).where("m > 1").select("family", F.when(F.col("all") > 1, F.col("parts")).alias("parts"))
+    )
+    size = F.col("n_shingles")
+    least, most = F.expr(f"(n_shingles * {percent} + 99) div 100"), F.expr(f"n_shingles * 100 div {percent}")
+    placed = (
+        members.join(cut, "family").withColumn("level", F.when(F.col("parts").isNull(), 0).otherwise(level(size)))
+        # Levels that the sizes of linked sets can be in.
+        .withColumn("levels", F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.array_distinct(F.array(level(least), level(size), level(most)))))
+        .withColumn("parts", F.coalesce("parts", F.create_map(F.lit(0), F.lit(1))))
+        .withColumn("levels", F.filter("levels", lambda at: F.map_contains_key("parts", at)))
+        .withColumn("part", F.col("level") * LEVEL + F.pmod(F.xxhash64("node"), F.col("parts")[F.col("level")]).cast("int"))
+        .withColumn("others", F.flatten(F.transform("levels", lambda at: F.transform(
+            F.sequence(F.lit(0), F.col("parts")[at] - 1), lambda h: at * LEVEL + h))))
     )
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    placed = members.join(cut, "family").select("node", "copies", "family", "parts", part.alias("part"), "a", "b")
     meetings = placed.select(
-        "node", "copies", "family", "part", "a", "b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+        "node", "copies", "family", "part", "a", "b", F.explode("others").alias("other")
     ).select(
         "node", "copies", "family", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") > F.col("other")).cast("int").alias("side"), "a", "b",
