@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from postquarry.llm.common import bucket_of, on_exit, range_bounds, shuffle_width
 from postquarry.session import scratch_path, ship_package
 
-KEPT_WORDS, JOINED_WORDS, BATCH_BYTES = 1_000_000, 256, 8 << 20
+KEPT_WORDS, JOINED_WORDS, BATCH_BYTES = 500_000, 256, 4 << 20
 
 # A byte-level tokenizer cuts before a space that a letter, a digit or a printable ASCII sign follows.
 CUT, NO_CUT = r" ([!-~\p{L}\p{N}])", r" (?:[^!-~\p{L}\p{N}]|$)"
@@ -164,6 +164,8 @@ def _encode_rows(path: str, end_id: int, order: pa.DataType):
                     part.column(0), part.column(1), part.column(2), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()),
                     pa.ListArray.from_arrays(offsets, ids),
                 ], schema=schema)
+        # The worker goes on to other tasks: give back what this one needed for a while.
+        pa.default_memory_pool().release_unused()
 
     return encode
 

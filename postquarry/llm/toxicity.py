@@ -54,7 +54,7 @@ class Field:
         """Sum of a word's feature weights; remembered."""
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 150_000:
                 self.known.clear()
             weights = self.weights
             got = self.known[word] = sum(weights[f] for f in features_of(word) if f in weights)
@@ -286,8 +286,11 @@ def train(labelled: DataFrame, docs: DataFrame, settings: Settings | None = None
 
     @pandas_udf("array<double>")
     def describe(texts: pd.Series) -> pd.Series:
-        _, inside, _, sizes = read_texts(shared.value, texts.tolist())
-        return pd.Series(list(document_features(inside, sizes)))
+        found = []
+        for k in range(0, len(texts), 200):
+            _, inside, _, sizes = read_texts(shared.value, texts.iloc[k : k + 200].tolist())
+            found += list(document_features(inside, sizes))
+        return pd.Series(found)
 
     points = sample.select("y", describe("text").alias("x")).collect()
     model.scale = fit_scale(np.array([p["x"] for p in points]), np.array([float(p["y"] > 0) for p in points]))
@@ -325,9 +328,8 @@ def score_texts(df: DataFrame, model: Field | None, text: str = "text", name: st
     @pandas_udf(kind)
     def score(texts: pd.Series) -> pd.DataFrame:
         m, scores, spans = shared.value, [], []
-        everything = texts.tolist()
-        for k in range(0, len(everything), 500):
-            part = everything[k : k + 500]
+        for k in range(0, len(texts), 200):
+            part = texts.iloc[k : k + 200].tolist()
             places, inside, _, sizes = read_texts(m, part)
             x = document_features(inside, sizes)
             scores.append(1 / (1 + np.exp(-np.clip(m.scale[0] + x @ np.array(m.scale[1:]), -30, 30))))
