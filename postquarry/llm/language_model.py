@@ -2,8 +2,8 @@
 
 Counts of words and of pairs of frequent words are quantised to powers of two. An n-gram of level q is put into
 a Bloom filter q times, once per level; its count is read back by probing level after level until one
-is missing. The filter is built in blocks by Spark and broadcast; smoothed probabilities come from
-such probes alone.
+is missing. The filter grows with its entries: Spark builds it in blocks and writes them, pieces of blocks are
+broadcast, and every task holds one piece at a time; smoothed probabilities come from such probes alone.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ class Settings:
     contexts: int = 1 << 13  # words that make up pairs
     min_pair: int = 2  # rarer pairs back off to words
     bits_per_entry: int = 10
-    max_bytes: int = 64 << 20  # of the filter; beyond it rare n-grams stay out
+    max_bytes: int = 64 << 20  # of a piece of the filter; there are as many pieces as it needs
     weight: float = 0.7  # of the pair's share against the word's
 
 
@@ -71,10 +71,14 @@ class LogFilter:
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
         """The middle of the last level found, 0 if there is none. Never less than the level put in."""
+        return counts_of(self.levels(grams, block_of(grams, self.n_blocks)))
+
+    def levels(self, grams: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The last level found of n-grams whose blocks are given."""
         level = np.zeros(len(grams), np.int64)
         if not len(self.raw):
-            return level.astype(float)
-        at = block_of(grams, self.n_blocks) * (BLOCK_BITS // 8)
+            return level
+        at = block * (BLOCK_BITS // 8)
         live, q = np.arange(len(grams)), 1
         while len(live) and q < 64:
             found = np.ones(len(live), bool)
@@ -84,7 +88,23 @@ class LogFilter:
             live = live[found]
             level[live] = q
             q += 1
-        return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5 * (level == 1), 0.0)
+        return level
+
+
+def counts_of(level: np.ndarray) -> np.ndarray:
+    return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5 * (level == 1), 0.0)
+
+
+def probe(pieces: list[tuple[int, Broadcast]], grams: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Counts read from a filter in pieces of (first block, bytes), one piece in memory at a time."""
+    level = np.zeros(len(grams), np.int64)
+    for k, (first, piece) in enumerate(pieces):
+        last = pieces[k + 1][0] if k + 1 < len(pieces) else math.inf
+        here = np.flatnonzero((block >= first) & (block < last))
+        level[here] = LogFilter(np.frombuffer(piece.value, np.uint8)).levels(grams[here], block[here] - first)
+        if len(pieces) > 1:
+            del piece._value  # the file stays
+    return counts_of(level)
 
 
 def _fill_block(block: tuple[pa.Scalar, ...], grams: pa.Table) -> pa.Table:
@@ -137,22 +157,19 @@ _OUT = pa.schema([
 _OUT_DDL = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
 
 
-def _score(model, weight: float):
-    words, counts, total, distinct, raw, contexts, context_counts = (
-        "words", "counts", "total", "distinct", "raw", "contexts", "context_counts"
-    )
+def _score(model, pieces: list[tuple[int, Broadcast]], n_blocks: int, weight: float):
+    words, counts, total, distinct, contexts, context_counts = "words", "counts", "total", "distinct", "contexts", "context_counts"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         frequent = np.frombuffer(m[words], np.uint64)
         frequent_n = np.frombuffer(m[counts], np.int64)
         chosen, chosen_n = np.frombuffer(m[contexts], np.uint64), np.frombuffer(m[context_counts], np.int64)
-        filter_ = LogFilter(np.frombuffer(m[raw], np.uint8))
         below = math.log10(m[total] + m[distinct] + 1)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            for start, end in blocks(texts):
+            for start, end in blocks(texts, 4 << 20 if len(pieces) == 1 else 8 << 20):
                 tokens, n = tokens_of(texts[start:end])
                 owner = np.repeat(np.arange(len(n)), n)
                 kinds, at = np.unique(tokens, return_inverse=True)
@@ -164,15 +181,16 @@ def _score(model, weight: float):
                 base = np.bincount(owner, log_exact[at], len(n))
                 known = np.bincount(owner, is_exact, len(n)).astype(np.int64)
                 # The model: probes for words, then for pairs of context words.
-                smooth = (filter_.counts(kinds) + 1.0) / (m[total] + m[distinct] + 1)
-                p = smooth[at]
                 place = np.minimum(np.searchsorted(chosen, kinds), max(0, len(chosen) - 1))
                 in_pairs = (chosen[place] == kinds if len(chosen) else np.zeros(len(kinds), bool))[at]
                 previous = np.concatenate([[END], tokens[:-1]])
                 place_before = np.concatenate([[np.searchsorted(chosen, END)], place[at][:-1]])
                 both = np.flatnonzero(in_pairs & np.concatenate([[len(chosen) > 0], in_pairs[:-1]]))
                 pairs, pair_at = np.unique(pair_hash(previous[both], tokens[both]), return_inverse=True)
-                share = np.minimum(1.0, filter_.counts(pairs)[pair_at] / np.maximum(1, chosen_n[np.minimum(place_before[both], max(0, len(chosen) - 1))] if len(chosen) else 1))
+                grams = np.concatenate([kinds, pairs])
+                found = probe(pieces, grams, block_of(grams, n_blocks))
+                p = ((found[: len(kinds)] + 1.0) / (m[total] + m[distinct] + 1))[at]
+                share = np.minimum(1.0, found[len(kinds) :][pair_at] / np.maximum(1, chosen_n[np.minimum(place_before[both], max(0, len(chosen) - 1))] if len(chosen) else 1))
                 p[both] = weight * share + (1 - weight) * p[both]
                 total_score = np.bincount(owner, np.log10(p), len(n))
                 # Other words, once per document, for the exact join.
@@ -191,6 +209,17 @@ def _score(model, weight: float):
     return score
 
 
+def broadcast_pieces(filled: DataFrame, n_blocks: int, max_bytes: int) -> list[tuple[int, Broadcast]]:
+    """Written blocks as broadcasts of at most ``max_bytes``, one block at least; the driver holds one at a time."""
+    step, size, pieces = max(1, max_bytes * 8 // BLOCK_BITS), BLOCK_BITS // 8, []
+    for first in range(0, n_blocks, step):
+        raw = bytearray(min(step, n_blocks - first) * size)
+        for block, data in filled.where(F.col("block").between(first, first + step - 1)).collect():
+            raw[(block - first) * size : (block - first + 1) * size] = data
+        pieces.append((first, filled.sparkSession.sparkContext.broadcast(bytes(raw))))
+    return pieces
+
+
 def score_documents(
     df: DataFrame, held_out: Column, settings: Settings | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -226,36 +255,26 @@ def score_documents(
     )
     pair_entries = pairs.agg(F.sum(level).alias("e")).first()["e"] or 0
 
-    # As many blocks as the entries ask for, within the bound.
+    # As many blocks as the entries ask for.
     grams = words.union(pairs)
-    wanted = -(-((sums["e"] or 0) + pair_entries) * settings.bits_per_entry // BLOCK_BITS)
-    n_blocks = max(1, min(wanted, settings.max_bytes * 8 // BLOCK_BITS))
-    if wanted > n_blocks:
-        # Too many for the bound: the rarest stay out.
-        by_level = sorted((r["l"], r["c"]) for r in grams.groupBy(level.alias("l")).agg(F.count("*").alias("c")).collect())
-        floor = next(
-            (l for l, _ in by_level if sum(q * c for q, c in by_level if q >= l) * settings.bits_per_entry <= n_blocks * BLOCK_BITS), 64
-        )
-        grams = grams.where(level >= floor)
+    n_blocks = max(1, -(-((sums["e"] or 0) + pair_entries) * settings.bits_per_entry // BLOCK_BITS))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = block_of(batch.column(0).to_numpy().view(np.uint64), n_blocks)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *batch.columns], names=["block", "gram", "n"])
 
-    filled = (
+    filled = store(
         grams.mapInArrow(place, "block int, gram long, n long").groupBy("block")
-        .applyInArrow(_fill_block, "block int, raw binary").collect()
+        .applyInArrow(_fill_block, "block int, raw binary"), "filter-blocks",
     )
-    raw = bytearray(n_blocks * BLOCK_BITS // 8)
-    for block, data in filled:
-        raw[block * BLOCK_BITS // 8 : (block + 1) * BLOCK_BITS // 8] = data
+    pieces = broadcast_pieces(filled, n_blocks, settings.max_bytes)
     model = spark.sparkContext.broadcast({
         "words": top["gram"].to_numpy(np.int64)[order].tobytes(), "counts": top["n"].to_numpy(np.int64)[order].tobytes(),
-        "total": total, "distinct": distinct, "raw": bytes(raw), "contexts": contexts.tobytes(),
+        "total": total, "distinct": distinct, "contexts": contexts.tobytes(),
         "context_counts": np.array([at_context[c] for c in contexts.tolist()], np.int64).tobytes(),
     })
-    scored = store(rows.mapInArrow(_score(model, settings.weight), _OUT_DDL), "scored")
+    scored = store(rows.mapInArrow(_score(model, pieces, n_blocks, settings.weight), _OUT_DDL), "scored")
     rest = scored.select("row", F.inline(F.arrays_zip("rare", "times"))).join(words, F.col("rare") == F.col("gram"), "left")
     count = F.coalesce("n", F.lit(0))
     tail = rest.groupBy("row").agg(

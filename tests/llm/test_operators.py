@@ -418,6 +418,16 @@ def test_base_score_is_exact_and_pairs_help(spark):
     assert sum(r.score for r in short) > sum(r.base_score for r in short)
 
 
+def test_scores_do_not_depend_on_the_size_of_filter_pieces(spark):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(k, " ".join(f"w{rng.randrange(100_000)}" for _ in range(400))) for k in range(500)], "doc_id long, text string")
+    scores = [
+        {r.doc_id: r.score for r in language_model.score_documents(df, F.col("doc_id") % 5 == 0, language_model.Settings(frequent=40, contexts=25, max_bytes=n)).collect()}
+        for n in (1, 64 << 20)
+    ]
+    assert scores[0] == scores[1] and len(scores[0]) == 500
+
+
 def test_language_model_edge_cases(spark):
     assert language_model.score_documents(nothing(spark), F.lit(False)).count() == 0
     got = language_model.score_documents(documents(spark), F.lit(True)).collect()  # nothing to learn from
