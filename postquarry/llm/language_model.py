@@ -1,6 +1,6 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Counts of words and of pairs of frequent words are quantised to powers of two. An n-gram of level q is put into
+Counts of all words and of all pairs of neighbouring tokens are quantised to powers of two. An n-gram of level q is put into
 a Bloom filter q times, once per level; its count is read back by probing level after level until one
 is missing. The filter grows with its entries: Spark builds it in blocks and writes them, pieces of blocks are
 broadcast, and every task holds one piece at a time; smoothed probabilities come from such probes alone.
@@ -31,8 +31,8 @@ BLOCK_BITS, PROBES = 1 << 19, 4
 @dataclass
 class Settings:
     frequent: int = 1 << 17  # words whose exact counts every task holds
-    contexts: int = 1 << 13  # words that make up pairs
-    min_pair: int = 2  # rarer pairs back off to words
+    contexts: int | None = None  # so many most frequent words alone make up pairs; None: all words
+    part_tokens: int = 1 << 19  # training tokens for each part of the n-grams, which one task counts
     bits_per_entry: int = 10
     max_bytes: int = 64 << 20  # of a piece of the filter; there are as many pieces as it needs
     weight: float = 0.7  # of the pair's share against the word's
@@ -120,23 +120,84 @@ def _fill_block(block: tuple[pa.Scalar, ...], grams: pa.Table) -> pa.Table:
 _GRAMS = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
 
-def _count(contexts: np.ndarray | None):
-    """Counts within about 30 MB of text at a time: words, or pairs of the words given."""
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+    return grams, np.bincount(at, np.concatenate([c for _, c in parts]), len(grams)).astype(np.int64)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts within about 30 MB of text at a time."""
+    for batch in batches:
+        texts = batch.column(0).to_pylist()
+        if parts := [np.unique(tokens_of(texts[a:b])[0], return_counts=True) for a, b in blocks(texts)]:
+            grams, n = summed(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], schema=_GRAMS)
+
+
+_PACKED = "part int, grams binary, counts binary"
+
+
+def packed(grams: np.ndarray, n: np.ndarray, n_parts: int) -> pa.RecordBatch:
+    """One row per part with its n-grams and their counts as bytes."""
+    part = block_of(grams, n_parts)
+    order = np.argsort(part, kind="stable")
+    grams, n = grams[order], n[order]
+    ids, starts = np.unique(part[order], return_index=True)
+    limits = [*starts.tolist(), len(grams)]
+    cells = [pa.array([x[a:b].tobytes() for a, b in zip(limits, limits[1:])], pa.binary()) for x in (grams, n)]
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), *cells], names=["part", "grams", "counts"])
+
+
+def _pack_words(n_parts: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield packed(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), n_parts)
+
+    return pack
+
+
+def _pack_pairs(n_parts: int, contexts: np.ndarray | None):
+    """Pairs counted like words, of all tokens or of those given."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, parts = batch.column(0).to_pylist(), []
             for start, end in blocks(texts):
-                tokens, counts = tokens_of(texts[start:end])
-                if contexts is not None:
-                    tokens = pairs_of(tokens, np.isin(tokens, contexts))
-                parts.append(np.unique(tokens, return_counts=True))
+                tokens, _ = tokens_of(texts[start:end])
+                known = np.ones(len(tokens), bool) if contexts is None else np.isin(tokens, contexts)
+                parts.append(np.unique(pairs_of(tokens, known), return_counts=True))
             if parts:
-                grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
-                n = np.bincount(at, np.concatenate([c for _, c in parts]), len(grams)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], schema=_GRAMS)
+                yield packed(*summed(parts), n_parts)
+
+    return pack
 
-    return count
+
+def _merge_part(part: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    grams, n = (np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in (("grams", np.uint64), ("counts", np.int64)))
+    grams, n = summed([(grams, n)])
+    level = levels_of(n)
+    return pa.table({
+        "part": pa.array([part[0].as_py()], pa.int32()), "grams": pa.array([grams.tobytes()], pa.binary()),
+        "levels": pa.array([level.astype(np.uint8).tobytes()], pa.binary()), "entries": pa.array([int(level.sum())], pa.int64()),
+    })
+
+
+def place_of(grams: np.ndarray, n_parts: int, per_part: int) -> np.ndarray:
+    """Block of an n-gram: one of those of its part."""
+    return block_of(grams, n_parts) * per_part + (mix(grams ^ np.uint64(0x6A09E667F3BCC909)) % np.uint64(per_part)).astype(np.int64)
+
+
+def _fill_parts(n_parts: int, per_part: int):
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, grams, levels in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                grams, n = np.frombuffer(grams, np.uint64), np.int64(1) << (np.frombuffer(levels, np.uint8).astype(np.int64) - 1)
+                at = place_of(grams, n_parts, per_part)
+                for block in range(part * per_part, (part + 1) * per_part):
+                    own = at == block
+                    yield from _fill_block((pa.scalar(block),), pa.table({"gram": grams[own].view(np.int64), "n": n[own]})).to_batches()
+
+    return fill
 
 
 def pairs_of(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -157,14 +218,13 @@ _OUT = pa.schema([
 _OUT_DDL = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
 
 
-def _score(model, pieces: list[tuple[int, Broadcast]], n_blocks: int, weight: float):
-    words, counts, total, distinct, contexts, context_counts = "words", "counts", "total", "distinct", "contexts", "context_counts"
+def _score(model, pieces: list[tuple[int, Broadcast]], n_parts: int, per_part: int, contexts: np.ndarray | None, weight: float):
+    words, counts, total, distinct = "words", "counts", "total", "distinct"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         frequent = np.frombuffer(m[words], np.uint64)
         frequent_n = np.frombuffer(m[counts], np.int64)
-        chosen, chosen_n = np.frombuffer(m[contexts], np.uint64), np.frombuffer(m[context_counts], np.int64)
         below = math.log10(m[total] + m[distinct] + 1)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -180,17 +240,18 @@ def _score(model, pieces: list[tuple[int, Broadcast]], n_blocks: int, weight: fl
                 is_exact = exact[at]
                 base = np.bincount(owner, log_exact[at], len(n))
                 known = np.bincount(owner, is_exact, len(n)).astype(np.int64)
-                # The model: probes for words, then for pairs of context words.
-                place = np.minimum(np.searchsorted(chosen, kinds), max(0, len(chosen) - 1))
-                in_pairs = (chosen[place] == kinds if len(chosen) else np.zeros(len(kinds), bool))[at]
-                previous = np.concatenate([[END], tokens[:-1]])
-                place_before = np.concatenate([[np.searchsorted(chosen, END)], place[at][:-1]])
-                both = np.flatnonzero(in_pairs & np.concatenate([[len(chosen) > 0], in_pairs[:-1]]))
-                pairs, pair_at = np.unique(pair_hash(previous[both], tokens[both]), return_inverse=True)
+                # The model: probes for words and for pairs; the words before have their counts from the same probes.
+                pairs, pair_at = np.unique(pair_hash(np.concatenate([[END], tokens[:-1]]), tokens), return_inverse=True)
                 grams = np.concatenate([kinds, pairs])
-                found = probe(pieces, grams, block_of(grams, n_blocks))
+                found = probe(pieces, grams, place_of(grams, n_parts, per_part))
                 p = ((found[: len(kinds)] + 1.0) / (m[total] + m[distinct] + 1))[at]
-                share = np.minimum(1.0, found[len(kinds) :][pair_at] / np.maximum(1, chosen_n[np.minimum(place_before[both], max(0, len(chosen) - 1))] if len(chosen) else 1))
+                before = np.concatenate([[np.searchsorted(kinds, END)], at[:-1]])
+                n_before = found[before]
+                both = n_before > 0
+                if contexts is not None:
+                    chosen = np.isin(kinds, contexts)
+                    both &= chosen[at] & chosen[before]
+                share = np.minimum(1.0, found[len(kinds) :][pair_at[both]] / n_before[both])
                 p[both] = weight * share + (1 - weight) * p[both]
                 total_score = np.bincount(owner, np.log10(p), len(n))
                 # Other words, once per document, for the exact join.
@@ -226,11 +287,11 @@ def score_documents(
     """One row per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the rows where ``held_out`` is false; all rows are scored. ``base_score`` is exact: the
-    sum over tokens of log10((c + 1) / (N + V + 1)). ``score`` is the filter's log10 probability: for pairs of context
-    words a mix of the pair's share and the word's smoothed count, else the latter. Null and empty texts are one
+    sum over tokens of log10((c + 1) / (N + V + 1)). ``score`` is the filter's log10 probability: after a word of
+    the training rows a mix of the pair's share and the word's smoothed count, else the latter. Null and empty texts are one
     end token. Without training rows N and V are 0. Repeated rows stay.
 
-    Counts are pre-aggregated in the tasks. The exact counts of the most frequent words go to every task (a
+    Counts are pre-aggregated in the tasks; n-grams are summed in parts, as many as the training tokens ask for. The exact counts of the most frequent words go to every task (a
     fixed number), so no frequent word is shuffled; other words are joined with the table of all counts.
     Words are 64-bit hashes: two of the distinct words of a corpus share one only by chance.
     """
@@ -240,41 +301,29 @@ def score_documents(
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
     training = rows.where("not held_out").select("text")
     words = store(
-        training.mapInArrow(_count(None), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "word-counts"
+        training.mapInArrow(_count_words, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "word-counts"
     )
-    level = F.floor(F.log2("n")) + 1
-    sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(level).alias("e")).first()
+    sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] or 0, sums["v"]
     top = words.orderBy(F.desc("n"), "gram").limit(settings.frequent).toPandas()
     order = np.argsort(top["gram"].to_numpy(np.int64).view(np.uint64))
-    contexts = np.sort(top["gram"].to_numpy(np.int64)[: settings.contexts].view(np.uint64))
-    at_context = dict(zip(top["gram"].to_numpy(np.int64).view(np.uint64)[: settings.contexts].tolist(), top["n"].tolist()))
-    pairs = store(
-        training.mapInArrow(_count(contexts), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= settings.min_pair), "pair-counts",
+    contexts = None if settings.contexts is None else top["gram"].to_numpy(np.int64)[: settings.contexts].view(np.uint64)
+    n_parts = max(1, -(-total // settings.part_tokens))
+    grams = store(
+        training.mapInArrow(_pack_pairs(n_parts, contexts), _PACKED).union(words.mapInArrow(_pack_words(n_parts), _PACKED))
+        .groupBy("part").applyInArrow(_merge_part, "part int, grams binary, levels binary, entries long"), "n-grams",
     )
-    pair_entries = pairs.agg(F.sum(level).alias("e")).first()["e"] or 0
-
     # As many blocks as the entries ask for.
-    grams = words.union(pairs)
-    n_blocks = max(1, -(-((sums["e"] or 0) + pair_entries) * settings.bits_per_entry // BLOCK_BITS))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = block_of(batch.column(0).to_numpy().view(np.uint64), n_blocks)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *batch.columns], names=["block", "gram", "n"])
-
-    filled = store(
-        grams.mapInArrow(place, "block int, gram long, n long").groupBy("block")
-        .applyInArrow(_fill_block, "block int, raw binary"), "filter-blocks",
-    )
+    entries = grams.agg(F.sum("entries").alias("e")).first()["e"] or 0
+    per_part = max(1, -(-entries * settings.bits_per_entry // (BLOCK_BITS * n_parts)))
+    n_blocks = n_parts * per_part
+    filled = store(grams.select("part", "grams", "levels").mapInArrow(_fill_parts(n_parts, per_part), "block int, raw binary"), "filter-blocks")
     pieces = broadcast_pieces(filled, n_blocks, settings.max_bytes)
     model = spark.sparkContext.broadcast({
         "words": top["gram"].to_numpy(np.int64)[order].tobytes(), "counts": top["n"].to_numpy(np.int64)[order].tobytes(),
-        "total": total, "distinct": distinct, "contexts": contexts.tobytes(),
-        "context_counts": np.array([at_context[c] for c in contexts.tolist()], np.int64).tobytes(),
+        "total": total, "distinct": distinct,
     })
-    scored = store(rows.mapInArrow(_score(model, pieces, n_blocks, settings.weight), _OUT_DDL), "scored")
+    scored = store(rows.mapInArrow(_score(model, pieces, n_parts, per_part, contexts, settings.weight), _OUT_DDL), "scored")
     rest = scored.select("row", F.inline(F.arrays_zip("rare", "times"))).join(words, F.col("rare") == F.col("gram"), "left")
     count = F.coalesce("n", F.lit(0))
     tail = rest.groupBy("row").agg(

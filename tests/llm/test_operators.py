@@ -422,12 +422,21 @@ def test_scores_do_not_depend_on_the_size_of_filter_pieces(spark):
     rng = random.Random(9)
     df = spark.createDataFrame([(k, " ".join(f"w{rng.randrange(100_000)}" for _ in range(400))) for k in range(500)], "doc_id long, text string")
     scores = [
-        {r.doc_id: r.score for r in language_model.score_documents(df, F.col("doc_id") % 5 == 0, language_model.Settings(frequent=40, contexts=25, max_bytes=n)).collect()}
+        {r.doc_id: r.score for r in language_model.score_documents(df, F.col("doc_id") % 5 == 0, language_model.Settings(frequent=40, contexts=25, max_bytes=n, part_tokens=20_000)).collect()}
         for n in (1, 64 << 20)
     ]
     assert scores[0] == scores[1] and len(scores[0]) == 500
 
 
+def test_rare_pairs_count(spark):
+    rows = [(k, f"a{k} b{k}") for k in range(10_000)]
+    rows += [(10_000 + k, f"a{k} b{k}") for k in range(60)] + [(20_000 + k, f"a{k} b{k + 1}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in language_model.score_documents(df, F.col("doc_id") >= 10_000).collect()}
+    # Seen once and among 20,000 equally rare words; a false hit of the filter makes a wrong pair look right.
+    assert sum(got[10_000 + k] > got[20_000 + k] + 1 for k in range(60)) >= 56
+
+
 def test_language_model_edge_cases(spark):
     assert language_model.score_documents(nothing(spark), F.lit(False)).count() == 0
     got = language_model.score_documents(documents(spark), F.lit(True)).collect()  # nothing to learn from
