@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, then a test of how badly a tokenizer compresses a string.
 
 Ordinary words take few tokens of a byte-pair vocabulary; random keys fall apart into pieces of one
-to two characters. Long runs of key characters with few characters per token are reported, unless
-they are digests, identifiers, numbers, addresses or paths.
+to two characters. Runs of key characters with few characters per token are reported, with or without
+digits, as a whole or by their pieces between separators, so a key behind a path is found as well. Digests,
+UUIDs, numbers and dates are not. Short strings need a lower ratio; below eight characters none is tested.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"(?a:[A-Za-z0-9+/_=-]{16,})")
+CANDIDATE = re.compile(r"(?a:[A-Za-z0-9+/_=-]{8,})")
+PIECE = re.compile(r"[A-Za-z0-9]{8,}")
 #: Known shapes that are random by nature and no secrets: UUIDs, digests, numbers and dates.
 KNOWN = re.compile(
     r"(?ai:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
     r"|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9_=+/-]+)"
 )
+KNOWN_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){KNOWN.pattern}(?![A-Za-z0-9])")
+#: (least length, part of the ratio that holds from there).
+LIMITS = ((16, 1.0), (12, 0.8), (8, 0.7))
 
 
 @lru_cache(maxsize=4)
@@ -42,20 +47,45 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("scan", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=1 << 16)
+def _random(word: str, path: str, pattern: str, max_ratio: float) -> bool:
+    """Fewer characters per token than the limit for this length."""
+    part = next(part for least, part in LIMITS if len(word) >= least)
+    return len(word) / len(_encoding(path, pattern).encode_ordinary(word)) < max_ratio * part
+
+
+def random_spans(word: str, taken: list[tuple[int, int]], path: str, pattern: str, max_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of a run of key characters: the run, or else its pieces; neighbouring pieces are joined."""
+    if KNOWN.fullmatch(word):
+        return []
+    pieces = [m.span() for m in PIECE.finditer(word)]
+    known = [m.span() for m in KNOWN_INSIDE.finditer(word)] if pieces != [(0, len(word))] else []
+    taken = taken + [(s, e) for s, e in known if PIECE.search(word, s, e) and re.search("[A-Za-z]", word[s:e])]
+    mixed = len(word) >= 16 and re.search("[0-9]", word) and re.search("[A-Za-z]", word)
+    if not taken and (pieces or mixed) and _random(word, path, pattern, max_ratio):
+        return [(0, len(word))]
+    if pieces == [(0, len(word))] and not taken:
+        return []
+    taken = taken + known
+    found: list[tuple[int, int]] = []
+    for start, end in pieces:
+        if any(s < end and start < e for s, e in taken) or not _random(word[start:end], path, pattern, max_ratio):
+            continue
+        if found and found[-1][1] + 1 == start and not any(s < start and found[-1][1] < e for s, e in taken):
+            start = found.pop()[0]
+        found.append((start, end))
+    return found
+
+
 def spans_of(text: str, path: str, pattern: str, max_ratio: float) -> list[tuple[int, int, int]]:
     """(start, kind, end) of one text, in order."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = len(found)
+    base = sorted(found)
     for m in CANDIDATE.finditer(text):
-        word = m[0]
-        if KNOWN.fullmatch(word) or not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
-            continue
-        if any(s < m.end() and m.start() < e for s, _, e in found[:base]):
-            continue
-        if len(word) / len(_encoding(path, pattern).encode_ordinary(word)) < max_ratio:
-            found.append((m.start(), 3, m.end()))
+        taken = [(s - m.start(), e - m.start()) for s, _, e in base if s < m.end() and m.start() < e]
+        found += [(m.start() + s, 3, m.start() + e) for s, e in random_spans(m[0], taken, path, pattern, max_ratio)]
     return sorted(found)
 
 

@@ -371,6 +371,17 @@ def test_fixed_patterns_and_random_strings(spark):
     assert secrets.scan_secrets(nothing(spark), RANKS, RANK_PATTERN).count() == 0
 
 
+def test_random_strings_of_any_make():
+    rng, letters, digits = random.Random(5), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    spans = lambda text: [s for s in secrets.spans_of(text, RANKS, RANK_PATTERN, 2.0) if s[1] == 3]
+    path = "/production/configuration/service/account/"
+    for alphabet, n, front, least in ((letters, 24, "", 95), (letters, 40, "", 95), (letters + digits, 15, "", 90), (letters + digits, 12, "", 80), (letters + digits, 32, path, 95)):
+        keys = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(100)]
+        assert sum((4 + len(front), 3, 4 + len(front) + n) in spans(f"see {front}{k} there") for k in keys) >= least
+    for text in (path, "internationalization configuration", "/srv/123e4567-e89b-12d3-a456-426614174000/report"):
+        assert not spans(text)
+
+
 # language model
 
 
