@@ -40,11 +40,32 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return best
 
 
+def resolved(target: Column, page: Column) -> Column:
+    """A target as a full address, relative ones against the page's; other schemes and plain fragments give an empty text."""
+    own = F.when(path_of(page) == "", F.lit("/")).otherwise(path_of(page))
+    path, rest = F.regexp_extract(target, "(?s)^[^?#]*", 0), F.regexp_extract(target, "(?s)^[^?#]*(.*)$", 1)
+    parts = F.split(F.when(path.startswith("/"), path).otherwise(F.concat(F.regexp_extract(own, "(?s)^.*/", 0), path)), "/")
+    parts = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    folded = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)), F.array().cast("array<string>"),
+        lambda kept, part: F.when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(part == ".", kept).otherwise(F.concat(kept, F.array(part))),
+    )
+    host = F.concat(F.lit("http://"), host_of(page))
+    return (
+        F.when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike("^([A-Za-z][A-Za-z0-9+.-]*:|#)"), F.lit(""))
+        .when(path == "", F.concat(host, own, rest))
+        .otherwise(F.concat(host, F.lit("/"), F.array_join(folded, "/"), rest))
+    )
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(u, v): a page's address and one that it redirects to or calls canonical, both normalised.
 
-    An address is host, path and query; scheme and fragment do not count. Relative targets from the
-    root or the scheme are resolved, others that are no full address are left out.
+    An address is host, path and query; scheme and fragment do not count. Relative targets are
+    resolved against the page's address. A refresh may leave out ``url=``.
     """
     page = F.col(url)
     tag = lambda t: F.when(
@@ -52,19 +73,17 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
     ).when(
         t.rlike(r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?refresh\b"),
-        F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1),
+        F.coalesce(
+            F.nullif(F.regexp_extract(t, r"(?is)\bcontent\s*=\s*[\"']?\s*[\d.]+\s*[;,]\s*(?:url\s*=\s*)?[\"']?([^\"'\s>]+)", 1), F.lit("")),
+            F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1),
+        ),
     )
     target = F.replace(F.col("target"), F.lit("&amp;"), F.lit("&"))
-    whole = (
-        F.when(target.startswith("//"), F.concat(F.lit("http:"), target))
-        .when(target.startswith("/"), F.concat(F.lit("http://"), host_of(page), target))
-        .otherwise(target)
-    )
     return (
         pages.where(F.col(html).rlike("(?i)canonical|http-equiv")).select(
             url, F.explode(F.transform(F.regexp_extract_all(html, F.lit(_TAGS), F.lit(0)), tag)).alias("target")
         ).where("target <> ''")
-        .select(address(page).alias("u"), address(whole).alias("v"))
+        .select(address(page).alias("u"), address(resolved(target, page)).alias("v"))
         .where("u <> '' and v <> '' and u <> v")
     )
 

@@ -347,6 +347,22 @@ def test_groups_of_nothing(spark):
         jaccard.jaccard_groups(nothing(spark), percent=20)
 
 
+def test_relative_links_of_pages(spark):
+    refresh, canonical = '<meta http-equiv="refresh" content="{}">', '<link rel="canonical" href="{}">'
+    cases = [
+        ("http://a.io/x/y?q=1", refresh.format("0; url=new.html"), "a.io/x/new.html"), ("http://a.io/x/y", refresh.format("0;URL=./x"), "a.io/x/x"),
+        ("http://a.io/x/y?q=1#f", canonical.format("?id=1"), "a.io/x/y?id=1"), ("http://a.io", canonical.format("?id=2"), "a.io/?id=2"),
+        ("http://a.io", canonical.format("n.html"), "a.io/n.html"), ("http://a.io/x/y/z", canonical.format("../../../w/./v?a=../b"), "a.io/w/v?a=../b"),
+        ("http://a.io/x/y/z", canonical.format(".."), "a.io/x/"), ("http://a.io/x", refresh.format("5; http://b.io/?url=c"), "b.io/?url=c"),
+        ("http://a.io/x", refresh.format("0; new"), "a.io/new"), ("http://a.io/x/", canonical.format("//c.io/d"), "c.io/d"), ("http://a.io/x/", canonical.format("/d/../e"), "a.io/e"),
+        ("http://a.io/x", canonical.format("#top"), None), ("http://a.io/x", canonical.format("mailto:me"), None), ("http://a.io/x", refresh.format("30"), None),
+    ]
+    for_page = lambda u: u.split("://")[1].split("#")[0]
+    df = spark.createDataFrame([(u, h) for u, h, _ in cases], "url string, html string")
+    want = sorted((for_page(u) + ("" if "/" in for_page(u) else "/"), v) for u, _, v in cases if v)
+    assert sorted(map(tuple, url_filters.page_links(df).collect())) == want
+
+
 # secrets
 
 
