@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postquarry.llm import chat, decontaminate, fingerprints, jaccard, language_model, mixing, secrets, tokens, toxicity, url_filters
+from postquarry.llm import (
+    chat, decontaminate, fingerprints, jaccard, language_model, mixing, ranked_search, secrets, simhash, spelling, tokens, toxicity, url_filters,
+)
 from postquarry.llm.common import fold
 from postquarry.llm.registry import ORACLE_SQL, QUERIES, query, table
 from postquarry.session import small_table
@@ -196,3 +198,72 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents
+), i AS (
+  SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term FROM benchmark
+), sums AS (
+  SELECT count(*) AS docs, sum(len(words))::BIGINT AS length FROM d WHERE len(words) > 0
+), tf AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY 1), sums
+), scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term), sums GROUP BY ALL
+)
+SELECT * FROM (
+  SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0
+) WHERE rank <= 50
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query(r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+  SELECT list(list_reduce([b, 1, 1, 1, 1, 1, 1, 1, 1], lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+), runs AS (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents
+  ) WHERE length(run) >= 6 GROUP BY ALL
+), coded AS (
+  SELECT *, xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + unicode(c)::BIGINT // 64, 128 + unicode(c)::BIGINT % 64] END)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM runs, tab
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM coded
+  ) WHERE length(word) >= 6 GROUP BY 1 HAVING sum(times) >= 5
+), plain AS (
+  -- One byte per letter, for an edit distance that counts bytes.
+  SELECT word, n, length(word) AS l, translate(word, array_to_string([chr((192 + k)::INTEGER) FOR k IN range(64)], ''), array_to_string([chr((33 + k)::INTEGER) FOR k IN range(64)], '')) AS p
+  FROM words
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n, row_number() OVER (PARTITION BY a.word ORDER BY b.n DESC, b.word) AS k
+  FROM plain a JOIN plain b ON b.l BETWEEN a.l - 1 AND a.l + 1 AND a.word <> b.word AND levenshtein(a.p, b.p) = 1
+), best AS (SELECT word, count(*) AS n_near, max(other) FILTER (k = 1) AS other, max(other_n) FILTER (k = 1) AS other_n FROM near GROUP BY 1),
+judged AS (
+  SELECT word, CASE WHEN other_n >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), ways AS (
+  SELECT word, word AS place, form AS next FROM judged UNION ALL SELECT ways.word, judged.word, judged.form FROM ways JOIN judged ON judged.word = ways.next
+)
+SELECT judged.word, judged.form, place AS root, n, n_near, form_n FROM judged JOIN (FROM ways WHERE next IS NULL) ends USING (word)
+""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(table(spark, sf_dir, "documents"), drop_every=199))
+
+
+@query()
+def op13_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
