@@ -2,8 +2,10 @@
 
 Counts of all words and of all pairs of neighbouring tokens are quantised to powers of two. An n-gram of level q is put into
 a Bloom filter q times, once per level; its count is read back by probing level after level until one
-is missing. The filter grows with its entries: Spark builds it in blocks and writes them, pieces of blocks are
-broadcast, and every task holds one piece at a time; smoothed probabilities come from such probes alone.
+is missing. The filter grows with its entries: Spark builds it in blocks and writes them to the shared folder in pieces of a
+few MiB, and every worker fetches the pieces from there, so that nothing of it passes through the driver. A filter of moderate
+size is held whole by the workers, of a larger one a worker holds one piece at a time; smoothed probabilities come from
+such probes alone.
 """
 
 from __future__ import annotations
@@ -14,13 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+import pyarrow.fs
+import pyarrow.parquet
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postquarry.llm.common import store
+from postquarry.llm.common import on_exit, store
 from postquarry.llm.words import blocks, hash_words, mix
-from postquarry.session import ship_package
+from postquarry.session import scratch_path, ship_package
 
 #: The end of a text as a token, and the mark that tells pairs from words.
 END = np.uint64(0xE07D0F7E47)
@@ -34,7 +38,8 @@ class Settings:
     contexts: int | None = None  # so many most frequent words alone make up pairs; None: all words
     part_tokens: int = 1 << 19  # training tokens for each part of the n-grams, which one task counts
     bits_per_entry: int = 10
-    max_bytes: int = 64 << 20  # of a piece of the filter; there are as many pieces as it needs
+    piece_bytes: int = 4 << 20  # of a piece of the filter; there are as many pieces as it needs
+    held_bytes: int = 128 << 20  # a filter up to that size is held whole by a worker, of others one piece at a time
     weight: float = 0.7  # of the pair's share against the word's
 
 
@@ -95,16 +100,64 @@ def counts_of(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 1.5 * 2.0 ** (level - 1) - 0.5 * (level == 1), 0.0)
 
 
-def probe(pieces: list[tuple[int, Broadcast]], grams: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Counts read from a filter in pieces of (first block, bytes), one piece in memory at a time."""
-    level = np.zeros(len(grams), np.int64)
-    for k, (first, piece) in enumerate(pieces):
-        last = pieces[k + 1][0] if k + 1 < len(pieces) else math.inf
-        here = np.flatnonzero((block >= first) & (block < last))
-        level[here] = LogFilter(np.frombuffer(piece.value, np.uint8)).levels(grams[here], block[here] - first)
-        if len(pieces) > 1:
-            del piece._value  # the file stays
-    return counts_of(level)
+@dataclass
+class Pieces:
+    """Where a written filter lies: one folder per piece of ``step`` blocks. Workers read it, the driver only names it."""
+
+    path: str
+    n_blocks: int
+    step: int
+    held_bytes: int
+
+    def read(self, first: int, last: int) -> np.ndarray:
+        """The bytes of the blocks from ``first`` up to ``last``, whole pieces."""
+        size = BLOCK_BITS // 8
+        raw = np.zeros((last - first) * size, np.uint8)
+        store, root = pyarrow.fs.FileSystem.from_uri(self.path)
+        for piece in range(first // self.step, -(-last // self.step)):
+            for file in store.get_file_info(pyarrow.fs.FileSelector(f"{root}/piece={piece}", allow_not_found=True)):
+                if file.base_name.endswith(".parquet"):
+                    with store.open_input_file(file.path) as source:
+                        for batch in pyarrow.parquet.ParquetFile(source).iter_batches(64, columns=["block", "raw"]):
+                            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                                raw[(block - first) * size : (block - first + 1) * size] = np.frombuffer(data, np.uint8)
+        return raw
+
+    def whole(self) -> np.ndarray | None:
+        """All of the filter, if it is to be held; a worker keeps the one it read last."""
+        if self.n_blocks * (BLOCK_BITS // 8) > self.held_bytes:
+            return None
+        if self.path not in _held:
+            _held.clear()
+            _held[self.path] = self.read(0, self.n_blocks)
+        return _held[self.path]
+
+    def counts(self, grams: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Counts of n-grams whose blocks are given."""
+        if (raw := self.whole()) is not None:
+            return counts_of(LogFilter(raw).levels(grams, block))
+        level = np.zeros(len(grams), np.int64)
+        order = np.argsort(block, kind="stable")
+        edges = np.searchsorted(block[order], np.arange(0, self.n_blocks + self.step, self.step))
+        for first, a, b in zip(range(0, self.n_blocks, self.step), edges, edges[1:]):
+            if a < b:
+                here = order[a:b]
+                level[here] = LogFilter(self.read(first, min(first + self.step, self.n_blocks))).levels(grams[here], block[here] - first)
+        return counts_of(level)
+
+
+_held: dict[str, np.ndarray] = {}
+
+
+def write_pieces(filled: DataFrame, n_blocks: int, settings: Settings) -> Pieces:
+    """Write blocks (block, raw) to the shared folder in pieces of ``piece_bytes``, one block at least."""
+    spark = filled.sparkSession
+    step = max(1, settings.piece_bytes * 8 // BLOCK_BITS)
+    path = scratch_path(spark, "filter")
+    filled.withColumn("piece", F.expr(f"block div {step}")).repartition("piece").write.partitionBy("piece").option(
+        "compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
+    on_exit(spark, path)
+    return Pieces(path, n_blocks, step, settings.held_bytes)
 
 
 def _fill_block(block: tuple[pa.Scalar, ...], grams: pa.Table) -> pa.Table:
@@ -218,7 +271,7 @@ _OUT = pa.schema([
 _OUT_DDL = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>, times array<int>"
 
 
-def _score(model, pieces: list[tuple[int, Broadcast]], n_parts: int, per_part: int, contexts: np.ndarray | None, weight: float):
+def _score(model, pieces: Pieces, n_parts: int, per_part: int, contexts: np.ndarray | None, weight: float):
     words, counts, total, distinct = "words", "counts", "total", "distinct"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +282,7 @@ def _score(model, pieces: list[tuple[int, Broadcast]], n_parts: int, per_part: i
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            for start, end in blocks(texts, 4 << 20 if len(pieces) == 1 else 8 << 20):
+            for start, end in blocks(texts, 4 << 20 if pieces.whole() is not None else 16 << 20):
                 tokens, n = tokens_of(texts[start:end])
                 owner = np.repeat(np.arange(len(n)), n)
                 kinds, at = np.unique(tokens, return_inverse=True)
@@ -243,7 +296,7 @@ def _score(model, pieces: list[tuple[int, Broadcast]], n_parts: int, per_part: i
                 # The model: probes for words and for pairs; the words before have their counts from the same probes.
                 pairs, pair_at = np.unique(pair_hash(np.concatenate([[END], tokens[:-1]]), tokens), return_inverse=True)
                 grams = np.concatenate([kinds, pairs])
-                found = probe(pieces, grams, place_of(grams, n_parts, per_part))
+                found = pieces.counts(grams, place_of(grams, n_parts, per_part))
                 p = ((found[: len(kinds)] + 1.0) / (m[total] + m[distinct] + 1))[at]
                 before = np.concatenate([[np.searchsorted(kinds, END)], at[:-1]])
                 n_before = found[before]
@@ -270,17 +323,6 @@ def _score(model, pieces: list[tuple[int, Broadcast]], n_parts: int, per_part: i
     return score
 
 
-def broadcast_pieces(filled: DataFrame, n_blocks: int, max_bytes: int) -> list[tuple[int, Broadcast]]:
-    """Written blocks as broadcasts of at most ``max_bytes``, one block at least; the driver holds one at a time."""
-    step, size, pieces = max(1, max_bytes * 8 // BLOCK_BITS), BLOCK_BITS // 8, []
-    for first in range(0, n_blocks, step):
-        raw = bytearray(min(step, n_blocks - first) * size)
-        for block, data in filled.where(F.col("block").between(first, first + step - 1)).collect():
-            raw[(block - first) * size : (block - first + 1) * size] = data
-        pieces.append((first, filled.sparkSession.sparkContext.broadcast(bytes(raw))))
-    return pieces
-
-
 def score_documents(
     df: DataFrame, held_out: Column, settings: Settings | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -293,7 +335,9 @@ def score_documents(
 
     Counts are pre-aggregated in the tasks; n-grams are summed in parts, as many as the training tokens ask for. The exact counts of the most frequent words go to every task (a
     fixed number), so no frequent word is shuffled; other words are joined with the table of all counts.
-    Words are 64-bit hashes: two of the distinct words of a corpus share one only by chance.
+    Words are 64-bit hashes: two of the distinct words of a corpus share one only by chance. ``spark.checkpoint.dir`` is to
+    be of a kind that pyarrow opens (file, hdfs, s3, gs). A filter beyond ``held_bytes`` is read piece by piece for every
+    16 MB of a task's text: exact, but the reads grow with the distinct n-grams.
     """
     settings = settings or Settings()
     spark = df.sparkSession
@@ -317,8 +361,8 @@ def score_documents(
     entries = grams.agg(F.sum("entries").alias("e")).first()["e"] or 0
     per_part = max(1, -(-entries * settings.bits_per_entry // (BLOCK_BITS * n_parts)))
     n_blocks = n_parts * per_part
-    filled = store(grams.select("part", "grams", "levels").mapInArrow(_fill_parts(n_parts, per_part), "block int, raw binary"), "filter-blocks")
-    pieces = broadcast_pieces(filled, n_blocks, settings.max_bytes)
+    filled = grams.select("part", "grams", "levels").mapInArrow(_fill_parts(n_parts, per_part), "block int, raw binary")
+    pieces = write_pieces(filled, n_blocks, settings)
     model = spark.sparkContext.broadcast({
         "words": top["gram"].to_numpy(np.int64)[order].tobytes(), "counts": top["n"].to_numpy(np.int64)[order].tobytes(),
         "total": total, "distinct": distinct,

@@ -449,10 +449,10 @@ def test_scores_do_not_depend_on_the_size_of_filter_pieces(spark):
     rng = random.Random(9)
     df = spark.createDataFrame([(k, " ".join(f"w{rng.randrange(100_000)}" for _ in range(400))) for k in range(500)], "doc_id long, text string")
     scores = [
-        {r.doc_id: r.score for r in language_model.score_documents(df, F.col("doc_id") % 5 == 0, language_model.Settings(frequent=40, contexts=25, max_bytes=n, part_tokens=20_000)).collect()}
-        for n in (1, 64 << 20)
+        {r.doc_id: r.score for r in language_model.score_documents(df, F.col("doc_id") % 5 == 0, language_model.Settings(frequent=40, contexts=25, part_tokens=20_000, piece_bytes=piece, held_bytes=held)).collect()}
+        for piece, held in ((1, 0), (200_000, 0), (1, 1 << 30), (4 << 20, 128 << 20))
     ]
-    assert scores[0] == scores[1] and len(scores[0]) == 500
+    assert all(s == scores[0] for s in scores) and len(scores[0]) == 500
 
 
 def test_rare_pairs_count(spark):
