@@ -3,9 +3,10 @@
 Two steps, both exact. First the documents are parted into families that no link leaves: sets that are
 alike enough differ in few elements, so if hash space is cut into one class more than that, the two
 agree on all their elements in one class (pigeonhole); documents that agree on a class of a size band
-are joined into a family. Then every family is joined by set-relation skipping: its inverted lists are
-ordered by set size, so the parts of a list that the length bound rules out are skipped as blocks, and
-the overlaps of a set with all others are derived from those of the similar set before it, walking only
+are joined into a family. A family too large for one task is parted again by other cuts of hash space, each of which
+linked sets must survive together. Then every family is joined by set-relation skipping: its inverted lists are
+ordered by set size, so the parts of a list that the length bound rules out are skipped as blocks that are never
+read, and the overlaps of a set with all others are derived from those of the similar set before it, walking only
 through the lists of the elements in which the two differ.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql.window import Window
 
 from postquarry.llm.common import components, store
 from postquarry.llm.words import blocks, hash_words, mix
-from postquarry.session import ship_package
+from postquarry.session import broadcast_if_small, ship_package
 
 #: Width of a size band: the largest size over the smallest.
 BAND = 1.5
@@ -78,14 +79,18 @@ class Bands:
         return out
 
 
-def signatures(hashes: np.ndarray, bands: Bands) -> np.ndarray:
+def signatures(hashes: np.ndarray, bands: Bands, cut: int = 0) -> np.ndarray:
     """Keys of a set: one per band and class that holds an element, the sum of its mixed hashes there.
 
+    Every ``cut`` deals the elements to other classes.
+
     A set with more such classes than a partner can spoil by differing agrees with the partner on one of
     them. A set with fewer shows its smallest elements too (prefix filter): they find the partners that
     are as poor in classes.
     """
     out, n = [], len(hashes)
+    if cut:
+        hashes = np.sort(mix(hashes ^ np.uint64(cut * 0x9E3779B97F4A7C15 % (1 << 64))))
     mixed = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
     for band, classes, most in bands.of(n):
         edges = (np.arange(1, classes) / classes * 2.0**64).astype(np.uint64)
@@ -122,35 +127,63 @@ def _sum_up(n: int):
     return sum_up
 
 
-def _sign(percent: int, n: int):
+def met_here(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Combine rows of a block: the smallest id alone keeps a key, each other id meets it once under a key of the two."""
+    order = np.lexsort((docs, keys))
+    keys, docs = keys[order], docs[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    least = docs[first][np.cumsum(first) - 1]
+    apart = docs != least
+    pairs = np.unique(np.stack([docs[apart], least[apart]], 1), axis=0)
+    own = mix(mix(pairs[:, 0].astype(np.uint64)) + pairs[:, 1].astype(np.uint64) ^ np.uint64(0xC2B2AE3D27D4EB4F))
+    return np.concatenate([keys[first], own, own]), np.concatenate([docs[first], pairs[:, 0], pairs[:, 1]])
+
+
+def _sign(percent: int, n: int, cut: int = 0):
+    """Rows (doc_id, text) or, within families, (doc_id, text, family)."""
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            inside = batch.column(2).to_pylist() if batch.num_columns > 2 else [0] * len(ids)
             for start, end in blocks(texts):
                 # Of copies within a block only the smallest id shows the set.
-                shown: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
-                for doc, s in zip(ids[start:end], shingle_sets(texts[start:end], n)):
+                shown: dict[tuple[int, int, int], tuple[int, np.ndarray]] = {}
+                for doc, family, s in zip(ids[start:end], inside[start:end], shingle_sets(texts[start:end], n)):
                     if doc is not None and len(s):
-                        sums = set_sums(s)
+                        sums = *set_sums(s), family
                         if sums not in shown or doc < shown[sums][0]:
                             shown[sums] = (doc, s)
                 if shown:
-                    keys = [signatures(s, bands) for _, s in shown.values()]
-                    docs = np.repeat([d for d, _ in shown.values()], [len(k) for k in keys])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(docs.astype(np.int64))], schema=_KEYS
-                    )
+                    keys = [signatures(s, bands, cut) for _, s in shown.values()]
+                    sizes = [len(k) for k in keys]
+                    families = np.repeat(np.array([f for _, _, f in shown], np.int64).view(np.uint64), sizes)
+                    flat = np.concatenate(keys)
+                    if cut:
+                        flat = mix(flat + mix(families))
+                    key, doc = met_here(flat, np.repeat(np.array([d for d, _ in shown.values()], np.int64), sizes))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc)], schema=_KEYS)
 
     return sign
 
 
+def _families(keyed: DataFrame) -> DataFrame:
+    """(id, component) of ids that share keys (key, doc_id). Blocks of rows have been combined, as before an aggregation."""
+    same_key = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    return components(
+        keyed.withColumn("least", F.first("doc_id").over(same_key)).where("doc_id <> least")
+        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
+    )
+
+
 def local_links(
-    sets: list[np.ndarray], percent: int, weights: list[int], sides: list[int] | None = None
+    sets: list[np.ndarray], percent: int, weights: list[int], sides: list[int] | None = None, touched: list[int] | None = None
 ) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links among sets: pairs that span each linked group, and the weight of the partners of every set.
 
-    With ``sides`` only pairs of different sides count.
+    With ``sides`` only pairs of different sides count. ``touched`` receives how many list entries were read, and how many
+    the walked lists hold.
     """
     order = sorted(range(len(sets)), key=lambda k: (sets[k][:6].tolist(), len(sets[k])))
     by_size = np.argsort([len(s) for s in sets], kind="stable")
@@ -165,8 +198,7 @@ def local_links(
     owner = np.repeat(np.arange(len(sets)), sizes)
     elements, code, often = np.unique(flat, return_inverse=True, return_counts=True)
     by_code = np.argsort(code, kind="stable")
-    lists, ends = owner[by_code], np.cumsum(often)
-    starts = ends - often
+    lists = owner[by_code]
     inner = [code[a:b] for a, b in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes))]
     inner = [np.sort(c[often[c] > 1]) for c in inner]
 
@@ -178,14 +210,17 @@ def local_links(
             k = parent[k]
         return k
 
+    # Positions of all lists in one ascending sequence, so that the blocks of a range are found in all lists at once.
+    ascending = code[by_code] * len(sets) + lists
+    counted = np.zeros(2, np.int64)  # positions read, and those that the walked lists hold
+
     def walk(codes: np.ndarray, low: int, high: int) -> np.ndarray:
-        """How many of the lists name each position from low up to high; the rest of a list is skipped."""
-        found = [lists[starts[c] : ends[c]] for c in codes]
-        if not found:
-            return np.zeros(high - low, np.int64)
-        everyone = np.concatenate(found)
-        everyone = everyone[(everyone >= low) & (everyone < high)]
-        return np.bincount(everyone - low, minlength=high - low)
+        """How many of the lists name each position from low up to high; what lies before and behind is skipped unread."""
+        begin, end = (np.searchsorted(ascending, codes * len(sets) + edge) for edge in (low, high))
+        held = np.maximum(end - begin, 0)
+        at = np.arange(held.sum()) + np.repeat(begin - np.cumsum(held) + held, held)
+        counted[:] += len(at), often[codes].sum()
+        return np.bincount(lists[at] - low, minlength=max(0, high - low))
 
     links, partners = [], np.zeros(len(sets), np.int64)
     before, overlap, low0, high0 = None, None, 0, 0
@@ -221,6 +256,8 @@ def local_links(
             if r != s:
                 parent[r] = s
                 links.append((int(by_size[x]), int(by_size[y])))
+    if touched is not None:
+        touched += counted.tolist()
     return links, partners
 
 
@@ -279,8 +316,8 @@ def jaccard_groups(
     has a null component. Rows that share an id are one node. Repeated rows stay.
 
     Copies, within a block of rows or anywhere, are joined once: only the row with the smallest id of each
-    distinct set enters a family's join, with the number of rows behind it. A family that is too large
-    for one task is cut into parts by size and hash, and every two parts of like sizes meet in a task of their own: no
+    distinct set enters a family's join, with the number of rows behind it. A family that further cuts do not make small
+    enough for one task is dealt to parts by size and hash, and every two parts of like sizes meet in a task of their own: no
     pair that can be linked is left out.
     """
     if not 50 <= percent <= 100:
@@ -293,17 +330,36 @@ def jaccard_groups(
         sets.where("doc_id is not null and n_shingles > 0").groupBy("a", "b", "n_shingles")
         .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "set-nodes",
     )
-    keyed = texts.mapInArrow(_sign(percent, n), "key long, doc_id long")
-    same_key = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    families = components(
-        keyed.withColumn("least", F.first("doc_id").over(same_key)).where("doc_id <> least")
-        .select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
-    )
-    # Members that stand for a set, and how their family is cut.
+    families = _families(texts.mapInArrow(_sign(percent, n), "key long, doc_id long"))
+    # Members that stand for a set.
     members = store(
         nodes.join(families, nodes["node"] == families["id"]).select("node", "a", "b", "n_shingles", "copies", F.col("component").alias("family")),
         "families",
     )
+    # The text of a node: the rows with its id, of which the one with its set is kept.
+    texts_of = lambda some: texts.join(broadcast_if_small(
+        sets.join(some.select("a", "b", F.col("node").alias("doc_id")), ["a", "b", "doc_id"], "left_semi").select("doc_id").distinct()
+    ), "doc_id").distinct()
+    # Families that are too large are parted by further cuts, as long as that makes them smaller.
+    fitting, cut, before = None, 0, None
+    while True:
+        sizes = members.groupBy("family").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("m")).where("m > 1")
+        sized = members.join(sizes, "family")
+        large = F.greatest(F.ceil(F.col("s") / PART_SHINGLES), F.ceil(F.col("m") / PART_SETS)) > 1
+        left = store(sized.where(large).drop("s", "m"), "large-families")
+        fit = sized.where(~large).drop("s", "m")
+        fitting = fit if fitting is None else fitting.unionByName(fit)
+        count = left.count()
+        if not count or (before is not None and count > 0.9 * before):
+            break
+        cut, before = cut + 1, count
+        own = texts_of(left).join(left.select("node", "family"), F.col("doc_id") == F.col("node"))
+        parted = _families(own.select("doc_id", "text", "family").mapInArrow(_sign(percent, n, cut), "key long, doc_id long"))
+        members = store(
+            left.drop("family").join(parted, left["node"] == parted["id"]).select(*left.drop("family").columns, F.col("component").alias("family")),
+            "families",
+        )
+    members = store(fitting.unionByName(left), "families")
     # A family that fits one task is one part; others are cut by binary length of the size, then by hash.
     level = lambda size: F.length(F.bin(size))
     parts_of = lambda s, m: F.greatest(F.ceil(s / PART_SHINGLES), F.ceil(m / PART_SETS)).cast("int")
@@ -332,11 +388,8 @@ def jaccard_groups(
         "node", "copies", "family", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") > F.col("other")).cast("int").alias("side"), "a", "b",
     )
-    # The text of a node: the rows with its id, of which the one with its set is kept.
-    own = sets.join(members.select("a", "b", F.col("node").alias("doc_id")), ["a", "b", "doc_id"], "left_semi").select("doc_id").distinct()
-    wanted = texts.join(own, "doc_id").distinct()
     links = store(
-        meetings.join(wanted, F.col("node") == F.col("doc_id"))
+        meetings.join(texts_of(members), F.col("node") == F.col("doc_id"))
         .select("family", "p", "q", F.col("node").alias("doc"), "side", "text", "copies")
         .repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "doc")
         .mapInArrow(_join_families(percent, n), "u long, v long, links long"),

@@ -338,7 +338,29 @@ def test_linked_sets_share_a_signature(percent):
             if 100 * common < percent * (len(x) + len(z) - common):
                 break
             y = z
-        assert len(np.intersect1d(jaccard.signatures(x, bands), jaccard.signatures(y, bands)))
+        for cut in range(3):
+            assert len(np.intersect1d(jaccard.signatures(x, bands, cut), jaccard.signatures(y, bands, cut)))
+
+
+def test_lists_are_entered_at_the_sizes_that_can_match():
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 2**64, 20, np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(0, 2**64, k, np.uint64)])) for k in range(1, 400)]
+    touched = []
+    links, partners = jaccard.local_links(sets, 90, [1] * len(sets), touched=touched)
+    want = [sum(10 * len(np.intersect1d(x, y)) >= 9 * len(np.union1d(x, y)) for y in sets if y is not x) for x in sets[:60]]
+    assert partners[:60].tolist() == want
+    assert touched[0] < touched[1] / 3
+
+
+def test_blocks_combine_equal_keys():
+    keys, docs = np.array([5, 5, 5, 9, 7, 7], np.uint64), np.array([4, 2, 8, 8, 2, 8])
+    key, doc = jaccard.met_here(keys, docs)
+    met = {}
+    for k, d in zip(key.tolist(), doc.tolist()):
+        met.setdefault(k, set()).add(d)
+    assert met.pop(5) == {2} and met.pop(9) == {8} and met.pop(7) == {2}
+    assert sorted(map(sorted, met.values())) == [[2, 4], [2, 8]]
 
 
 def test_groups_of_nothing(spark):
