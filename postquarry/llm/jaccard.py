@@ -27,7 +27,9 @@ from postquarry.session import broadcast_if_small, ship_package
 #: Width of a size band: the largest size over the smallest.
 BAND = 1.5
 #: Shingles and sets of a part of a family; two parts meet in one task at a time.
-PART_SHINGLES, PART_SETS = 1_500_000, 3_000
+PART_SHINGLES, PART_SETS = 1_000_000, 3_000
+#: Further cuts go on as long as each leaves at most this share of the rows in families that are too large.
+SHRINK = 0.75
 #: Step between the part numbers of two levels of size; a level has fewer parts than that.
 LEVEL = 1 << 24
 
@@ -194,11 +196,10 @@ def local_links(
     side = None if sides is None else np.asarray(sides)[by_size]
 
     # Inverted lists of the elements that two sets or more hold, each in ascending position.
-    flat = np.concatenate([sets[k] for k in by_size])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    elements, code, often = np.unique(flat, return_inverse=True, return_counts=True)
+    _, code, often = np.unique(np.concatenate([sets[k] for k in by_size]), return_inverse=True, return_counts=True)
+    code = code.astype(np.int32)
     by_code = np.argsort(code, kind="stable")
-    lists = owner[by_code]
+    lists = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[by_code]
     inner = [code[a:b] for a, b in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes))]
     inner = [np.sort(c[often[c] > 1]) for c in inner]
 
@@ -211,12 +212,15 @@ def local_links(
         return k
 
     # Positions of all lists in one ascending sequence, so that the blocks of a range are found in all lists at once.
-    ascending = code[by_code] * len(sets) + lists
+    ascending = code[by_code].astype(np.int64)
+    del by_code
+    ascending *= len(sets)
+    ascending += lists
     counted = np.zeros(2, np.int64)  # positions read, and those that the walked lists hold
 
     def walk(codes: np.ndarray, low: int, high: int) -> np.ndarray:
         """How many of the lists name each position from low up to high; what lies before and behind is skipped unread."""
-        begin, end = (np.searchsorted(ascending, codes * len(sets) + edge) for edge in (low, high))
+        begin, end = (np.searchsorted(ascending, codes.astype(np.int64) * len(sets) + edge) for edge in (low, high))
         held = np.maximum(end - begin, 0)
         at = np.arange(held.sum()) + np.repeat(begin - np.cumsum(held) + held, held)
         counted[:] += len(at), often[codes].sum()
@@ -350,7 +354,7 @@ def jaccard_groups(
         fit = sized.where(~large).drop("s", "m")
         fitting = fit if fitting is None else fitting.unionByName(fit)
         count = left.count()
-        if not count or (before is not None and count > 0.9 * before):
+        if not count or (before is not None and count > SHRINK * before):
             break
         cut, before = cut + 1, count
         own = texts_of(left).join(left.select("node", "family"), F.col("doc_id") == F.col("node"))
