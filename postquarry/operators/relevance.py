@@ -34,8 +34,8 @@ def match_words(
 ) -> DataFrame:
     """Rows whose text holds at least ``min_words`` words of the list, and one in any case.
 
-    Whole words, case ignored, each word counted once. Returns the key columns (which
-    identify a row), the sorted ``words`` and their number. A short Python list is intersected inside the
+    Whole words, case ignored, each word counted once. Returns one row per matching row, also where rows share a key: the
+    key columns, the sorted ``words`` and their number. A short Python list is intersected inside the
     row without any shuffle. A table is equi-joined on the word; its size is measured, and
     while it is small it is broadcast, so that only the hits are shuffled.
     """
@@ -51,9 +51,10 @@ def match_words(
             return hits.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
         words = df.sparkSession.createDataFrame([(w,) for w in listed], f"{word_col} STRING")
     wanted = broadcast_if_small(words.select(F.lower(word_col).alias("_word")).where("_word <> ''").distinct())
-    # The join needs repeats removed first; array_intersect does that by itself.
-    hits = keyed.select(*key_cols, F.explode(F.array_distinct("_tokens")).alias("_word")).join(wanted, "_word")
-    grouped = hits.groupBy(*key_cols).agg(F.sort_array(F.collect_list("_word")).alias("words"))
+    # The join needs repeats removed first; array_intersect does that by itself. Hits are gathered by row, not by key.
+    numbered = keyed.withColumn("_row", F.monotonically_increasing_id())
+    hits = numbered.select("_row", *key_cols, F.explode(F.array_distinct("_tokens")).alias("_word")).join(wanted, "_word")
+    grouped = hits.groupBy("_row", *key_cols).agg(F.sort_array(F.collect_list("_word")).alias("words")).drop("_row")
     return grouped.where(F.size("words") >= min_words).withColumn("n_words", F.size("words"))
 
 
@@ -188,8 +189,12 @@ def labelled_keys(neighbours: DataFrame, key_col: str, label_value: str) -> Data
 
 
 def drop_bots(df: DataFrame, neighbours: DataFrame, key_col: str, human: str = "h") -> DataFrame:
-    """Keep the rows with a human vector among their nearest ones."""
-    return df.join(labelled_keys(neighbours, key_col, human), key_col, "left_semi")
+    """Drop the rows that have neighbours but none with the label ``human``.
+
+    A row without a vector has no neighbours: nothing speaks against it and it stays.
+    """
+    bots = neighbours.groupBy(key_col).agg(F.max(F.col("label") == human).alias("_any")).where("not coalesce(_any, false)").select(key_col)
+    return df.join(bots, key_col, "left_anti")
 
 
 def reference_set(sets: dict[str, DataFrame], id_col: str = "ref_id") -> DataFrame:

@@ -1,13 +1,15 @@
 """Annotation queries.
 
-Role: an order is an item, its lines are the coders (line number), return flag and line
-status are two questions. Lines are first reduced to one per (order, line number).
+Role: an order is an item, its lines are the coders, return flag and line status are two questions.
+Lines that share an order and a line number are answers of different coders: repeats are numbered, and
+the coder is the line number plus 8 for each repeat before it (line numbers go up to 7).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from postquarry.operators import annotation as AN
 from postquarry.plans.registry import query, table
@@ -18,17 +20,20 @@ DOMAINS = {
 }
 NARROW = {"l_returnflag": ["A", "N"], "l_linestatus": ["F"]}
 LINES_SQL = """
-    lines AS (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus,
-                     min(l_suppkey) AS l_suppkey, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2)"""
+    lines AS (SELECT l_orderkey, l_returnflag, l_linestatus, l_suppkey, l_partkey, l_linenumber + 8 * (row_number() OVER (
+                     PARTITION BY l_orderkey, l_linenumber ORDER BY l_returnflag, l_linestatus, l_suppkey, l_partkey) - 1) AS l_linenumber
+              FROM lineitem)"""
 LONG_SQL = f"""{LINES_SQL},
     answers AS (SELECT l_orderkey AS item, 'l_returnflag' AS question, l_returnflag AS answer, l_linenumber AS coder FROM lines
                 UNION ALL SELECT l_orderkey, 'l_linestatus', l_linestatus, l_linenumber FROM lines)"""
 
 
 def coded_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
-    letters = [F.chr(F.min(F.ascii(c))).alias(c) for c in ("l_returnflag", "l_linestatus")]
-    return lines.agg(*letters, F.min("l_suppkey").alias("l_suppkey"), F.min("l_partkey").alias("l_partkey"))
+    """Every line with its coder in place of the line number. A group holds the repeats of one line, a few rows."""
+    answers = ["l_returnflag", "l_linestatus", "l_suppkey", "l_partkey"]
+    same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*answers)
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *answers)
+    return lines.withColumn("l_linenumber", F.col("l_linenumber").cast("long") + 8 * (F.row_number().over(same) - 1))
 
 
 def long_answers(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,7 +50,7 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
     WITH {LINES_SQL}, a AS (
         SELECT l_orderkey AS item, 'l_returnflag' AS question, CASE WHEN l_returnflag = 'R' THEN 'A' ELSE l_returnflag END AS answer, l_linenumber AS coder FROM lines
         UNION ALL SELECT l_orderkey, 'l_linestatus', l_linestatus, l_linenumber FROM lines)
-    SELECT item, question, answer, string_agg(CAST(coder AS VARCHAR), '; ' ORDER BY coder) AS coders, count(*) AS n
+    SELECT item, question, answer, string_agg(CAST(coder AS VARCHAR), '; ' ORDER BY CAST(coder AS VARCHAR)) AS coders, count(*) AS n
     FROM a WHERE question = 'l_returnflag' OR answer = 'F' GROUP BY ALL""")
 def coder_answers(spark, sf):
     cells = AN.answer_cells(coded_lines(spark, sf), "l_orderkey", "l_linenumber", NARROW, [("l_returnflag", "R", "A")], {})
@@ -141,7 +146,7 @@ def agreed_wide(spark, sf):
 
 def _coders_sql(question: str, answer: str, name: str) -> str:
     return (
-        f"CASE WHEN bool_or(question = '{question}' AND lo <> hi) THEN string_agg(CAST(coder AS VARCHAR), '; ' ORDER BY coder) "
+        f"CASE WHEN bool_or(question = '{question}' AND lo <> hi) THEN string_agg(CAST(coder AS VARCHAR), '; ' ORDER BY CAST(coder AS VARCHAR)) "
         f"FILTER (WHERE question = '{question}' AND answer = '{answer}') END AS \"{question}_{name}\""
     )
 
@@ -159,7 +164,7 @@ def disagreed(spark, sf):
 
 
 @query("A16", SPREAD_SQL + """
-    SELECT item, question, answer, string_agg(CAST(coder AS VARCHAR), '; ' ORDER BY coder) AS coders
+    SELECT item, question, answer, string_agg(CAST(coder AS VARCHAR), '; ' ORDER BY CAST(coder AS VARCHAR)) AS coders
     FROM answers JOIN spread USING (item, question) WHERE lo <> hi GROUP BY item, question, answer""")
 def disagreed_long(spark, sf):
     return AN.disagreed_long(long_answers(spark, sf))

@@ -13,8 +13,9 @@ from postquarry.operators import relevance as R
 from postquarry.operators.numbering import number_rows
 from postquarry.plans.derived import write_archive
 from postquarry.plans.registry import query, table
-from postquarry.session import scratch_path
+from postquarry.session import materialize, scratch_path
 from postquarry.sinks import tables as K
+from postquarry.sources import members as MB
 from postquarry.sources.archive import lookup_lines, read_archive
 from postquarry.sources.files import read_repacked
 from postquarry.streaming import streams as S
@@ -187,11 +188,11 @@ def reference_vectors(spark, sf):
 EVENT_JSON = "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def event_archive(spark: SparkSession, sf: str) -> str:
+def event_archive(spark: SparkSession, sf: str, damaged: bool = False) -> str:
     """The events as an archive of tar files in the shared folder."""
     value = F.to_json(F.struct("event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "value", "props"))
     path = scratch_path(spark, "archive")
-    write_archive(table(spark, sf, "events").select(value.alias("value")), path, "2024-01")
+    write_archive(table(spark, sf, "events").select(value.alias("value")), path, "2024-01", damaged=damaged)
     return path
 
 
@@ -216,6 +217,36 @@ def archive_lookup(spark, sf):
     return found.select(*slot, F.from_json("value", EVENT_JSON)["event_id"].alias("event_id"))
 
 
+@query("S1 S2 S12", """
+    SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, true AS damage_reported FROM events GROUP BY event_type""")
+def archive_damaged(spark, sf):
+    """An archive in which every second member breaks off: the others are read in full, the broken ones are reported each."""
+    path = event_archive(spark, sf, damaged=True)
+    index = materialize(MB.index_members(spark, path), "member-index")
+    lines = materialize(MB.read_members(spark, path, index, bad_member="report", slice_bytes=1 << 22), "damaged-lines")
+    reported = lines.where("member_error is not null").select("archive", "member").distinct().count()
+    cut = index.where(F.col("member").contains("|cut.")).count()
+    events = lines.where("member_error is null").select(F.from_json("value", EVENT_JSON).alias("e"))
+    return events.groupBy("e.event_type").agg(F.count("*").alias("n"), F.sum("e.event_id").alias("ids")).withColumn(
+        "damage_reported", F.lit(reported == cut and 2 * cut == index.count()))
+
+
+@query("S1 S10 S11 J1", """
+    SELECT event_type, strftime(ts, '%Y-%m-%d') AS slot_date, CAST(hour(ts) AS INTEGER) AS slot_hour, event_id FROM events
+    QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), hour(ts) ORDER BY ts, event_id) = 1""")
+def archive_index_lookup(spark, sf):
+    """The first event of every slot, found in one pass over the archive and opened again at its member's place."""
+    path = event_archive(spark, sf)
+    index = materialize(MB.index_members(spark, path), "member-index")
+    parsed = MB.read_members(spark, path, index, slice_bytes=1 << 22).select(
+        *PK.LOCATION, F.from_json("value", EVENT_JSON).alias("e")
+    ).select(*PK.LOCATION, "e.event_type", "e.event_id", F.col("e.ts").cast("timestamp_ntz").alias("ts"))
+    slot = ["event_type", "slot_date", "slot_hour"]
+    picked = PK.first_k(PK.with_slot(parsed, "ts"), slot, ["ts", "event_id"]).select(*PK.LOCATION, *slot)
+    found = MB.lookup_members(spark, path, index, picked).withColumn("slot_date", F.col("slot_date").cast("string"))
+    return found.select(*slot, F.from_json("value", EVENT_JSON)["event_id"].alias("event_id"))
+
+
 EVENT_ROWS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()),
     T.StructField("value", T.DoubleType()), T.StructField("bucket", T.StringType()),

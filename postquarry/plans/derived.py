@@ -16,11 +16,12 @@ from postquarry.session import ship_package
 from postquarry.sources.archive import open_folder
 
 
-def write_archive(df: DataFrame, root: str, month: str, value_col: str = "value") -> int:
+def write_archive(df: DataFrame, root: str, month: str, value_col: str = "value", damaged: bool = False) -> int:
     """Write the JSON lines of ``df`` as tar files below ``<root>/dump-<month>``; returns the lines written.
 
     Every task writes one tar and every batch of rows one member, gzip and bzip2 in
-    turn, so nothing is gathered. A tar appears under its name only when it is complete.
+    turn, so nothing is gathered. A tar appears under its name only when it is complete. With ``damaged`` a copy of each
+    member that breaks off in the middle stands behind it, with a bar in its name.
     """
     ship_package(df.sparkSession)
     folder = f"{root}/dump-{month}"
@@ -39,6 +40,10 @@ def write_archive(df: DataFrame, root: str, month: str, value_col: str = "value"
                 info = tarfile.TarInfo(f"lines/{number:08d}.json.{'bz2' if number % 2 else 'gz'}")
                 info.size = len(packed)
                 tar.addfile(info, io.BytesIO(packed))
+                if damaged:
+                    cut = tarfile.TarInfo(f"lines/{number:08d}|cut.json.{'bz2' if number % 2 else 'gz'}")
+                    cut.size = len(packed) // 2
+                    tar.addfile(cut, io.BytesIO(packed[: cut.size]))
                 written += len(batch)
         fs.move(partial, final)
         yield pd.DataFrame({"n": [written]})

@@ -89,7 +89,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lines_per_file(spark: SparkSession, path: str) -> DataFrame:
-    return read_lines(spark, path).groupBy("path").agg(F.count("*").alias("n"))
+    """Lines of every file that the readers give: blank ones hold no row."""
+    return read_lines(spark, path).where(r"value rlike '\\S'").groupBy("path").agg(F.count("*").alias("n"))
 
 
 def read_coder_tables(spark: SparkSession, folder: str, columns: T.StructType | str | None = None) -> DataFrame:

@@ -112,3 +112,19 @@ def test_a_row_without_a_hit_never_matches(spark, as_table):
     df = spark.createDataFrame([(1, "red sea"), (2, "blue"), (3, None)], "k INT, t STRING")
     words = spark.createDataFrame([("red",)], "word STRING") if as_table else ["red"]
     assert [tuple(r) for r in R.match_words(df, ["k"], "t", words, 0).collect()] == [(1, ["red"], 1)]
+
+
+def test_rows_that_share_a_key_are_matched_each_for_short_and_long_lists(spark):
+    rows = spark.createDataFrame([(1, "alpha beta"), (1, "gamma delta"), (2, "alpha gamma delta"), (3, "alpha beta"), (3, "alpha beta")], "id long, text string")
+    words = ["alpha", "beta", "gamma", "delta"]
+    for listed in (words, words + [f"w{k}" for k in range(400)], spark.createDataFrame([(w,) for w in words], "word string")):
+        for least, want in ((3, [(2, 3)]), (2, [(1, 2), (1, 2), (2, 3), (3, 2), (3, 2)])):
+            got = R.match_words(rows, ["id"], "text", listed, min_words=least)
+            assert sorted((r["id"], r["n_words"]) for r in got.collect()) == want
+
+
+def test_posts_without_a_vector_stay(spark):
+    posts = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None)], "id long, pv array<double>")
+    refs = spark.createDataFrame([("a", "h", [1.0, 0.0]), ("b", "b", [0.0, 1.0])], "ref_id string, label string, vec array<double>")
+    kept = R.drop_bots(posts, R.nearest(posts, "id", "pv", refs, k=1), "id")
+    assert sorted(r["id"] for r in kept.collect()) == [1, 3]
