@@ -263,6 +263,17 @@ def repacked_scan(spark, sf):
     return read_repacked(spark, root, EVENT_ROWS, ["click", "view"]).select("event_id", "ts", "value", "lang", "day", "bucket")
 
 
+@query("K2 T5", f"""
+    SELECT event_id, event_type AS lang, strftime(ts, '%Y%m%d') AS day, strftime({BUCKET_SQL}, '%Y%m%d%H%M') AS bucket FROM events""")
+def repacked_again(spark, sf):
+    """Some days, then all days without those already there, then some days anew: every row once."""
+    root = scratch_path(spark, "repacked-again")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value", F.col("event_type").alias("lang"))
+    for days, existing in (("day(ts) % 2 = 0", "overwrite"), ("true", "skip"), ("day(ts) % 3 = 0", "overwrite")):
+        K.repack(events.where(days), root, "ts", ["ts", "event_id"], existing=existing)
+    return read_repacked(spark, root, EVENT_ROWS).select("event_id", "lang", "day", "bucket")
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream; the glob also accepts a folder of part files."""
     return spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")

@@ -108,7 +108,9 @@ def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True,
     return sink("repack", write, ["timestamp_ms", "lang", "value", *PK.LOCATION])
 
 
-def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz: str = "UTC") -> Stage:
+def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz: str = "UTC", run: str | None = None) -> Stage:
+    """``run`` names what is replaced when the run is repeated; without it rows are appended."""
+
     def write(df: DataFrame) -> None:
         posts = df.withColumn("_text", P.full_text(F.col("truncated"), F.col("text"), F.col("extended_tweet.full_text")))
         hits = R.match_words(posts, [*PK.LOCATION, "lang", "id_str", "timestamp_ms", "_text"], "_text", words, min_relevant_words)
@@ -116,7 +118,7 @@ def _auto_relevance(path: str, words: list[str], min_relevant_words: int = 2, tz
             F.array(*[F.col(c).cast("string") for c in PK.LOCATION]).alias("location"),
             "lang", TM.event_time(F.col("timestamp_ms"), tz).alias("ts"), F.col("id_str"), F.col("_text").alias("text"), "words",
         )
-        K.write_relevant(rows, path, "ts")
+        K.write_relevant(rows, path, "ts", run=run)
 
     return sink("auto_relevance", write, ["text", "lang", *PK.LOCATION])
 

@@ -139,8 +139,8 @@ def relevant_written(spark, sf):
         F.array("source", F.col("doc_id").cast("string")).alias("location"), F.col("text").alias("post"), F.array("lang", "source").alias("words"),
         (F.lit("2022-01-01").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("doc_id").cast("int"))).alias("ts"), "lang",
     )
-    for run in in_runs(rows, "lang = 'en'")[:2]:
-        K.write_relevant(run, path, "ts")
+    for name, run in zip(("english", "others", "english"), in_runs(rows, "lang = 'en'")):
+        K.write_relevant(run, path, "ts", run=name)
     return FS.read_relevance(spark, path).select(
         F.array_join("location", ":").alias("location"), F.md5("post").alias("post_md5"), F.array_join("words", ",").alias("words"))
 

@@ -91,9 +91,20 @@ def write_full_posts(posts: DataFrame, path: str) -> None:
     write_by(posts, path, ["year_created", "month_created", "language"])
 
 
-def write_relevant(relevant: DataFrame, path: str, ts_col: str, lang_col: str = "lang") -> None:
-    """Relevant posts appended per year-month and language."""
-    write_by(relevant.withColumn("ym", TM.year_month(F.col(ts_col))), path, ["ym", lang_col], "json", "append")
+def write_relevant(relevant: DataFrame, path: str, ts_col: str, lang_col: str = "lang", run: str | None = None) -> None:
+    """Relevant posts per year-month and language, added to those of other runs.
+
+    With ``run`` the rows stand below a folder of that name, which is replaced as a whole: a run that is repeated leaves
+    its rows once, and none of an attempt before. Without it rows are appended, and a repeat doubles them.
+    """
+    rows = relevant.withColumn("ym", TM.year_month(F.col(ts_col)))
+    if run is None:
+        write_by(rows, path, ["ym", lang_col], "json", "append")
+    else:
+        (
+            rows.hint("rebalance", "ym", lang_col).write.mode("overwrite").format("json")
+            .option("partitionOverwriteMode", "static").partitionBy("ym", lang_col).save(f"{path.rstrip('/')}/run={run}")
+        )
 
 
 def write_stats(levels: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:

@@ -128,3 +128,16 @@ def test_posts_without_a_vector_stay(spark):
     refs = spark.createDataFrame([("a", "h", [1.0, 0.0]), ("b", "b", [0.0, 1.0])], "ref_id string, label string, vec array<double>")
     kept = R.drop_bots(posts, R.nearest(posts, "id", "pv", refs, k=1), "id")
     assert sorted(r["id"] for r in kept.collect()) == [1, 3]
+
+
+def test_a_repeated_run_leaves_its_rows_once(spark, tmp_path):
+    from postquarry.sinks import tables as K
+
+    def rows(*ids):
+        return spark.createDataFrame([([str(i)], f"post {i}", ["w"], "en" if i % 2 else "de", i) for i in ids], "location array<string>, post string, words array<string>, lang string, day int").withColumn(
+            "ts", F.expr("timestamp_ntz'2022-01-30 00:00:00' + make_dt_interval(day)")).drop("day")
+
+    path = str(tmp_path / "relevant")
+    for run, found in (("a", rows(1, 2, 3)), ("b", rows(4, 5)), ("a", rows(1, 3))):
+        K.write_relevant(found, path, "ts", run=run)
+    assert sorted(r["post"] for r in S.read_relevance(spark, path).collect()) == ["post 1", "post 3", "post 4", "post 5"]
