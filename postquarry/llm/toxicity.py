@@ -28,7 +28,6 @@ WORD = re.compile(r"\w+")
 @dataclass
 class Settings:
     max_documents: int = 20_000  # labelled documents that the model is fitted on, chosen by hash
-    max_features: int = 20_000
     min_documents: int = 4  # toxic documents that a feature must be in
     first_label: float = 3.0  # log odds from which a token of a toxic document counts as toxic
     rounds: int = 200
@@ -54,10 +53,12 @@ class Field:
         """Sum of a word's feature weights; remembered."""
         got = self.known.get(word)
         if got is None:
-            if len(self.known) > 150_000:
-                self.known.clear()
             weights = self.weights
-            got = self.known[word] = sum(weights[f] for f in features_of(word) if f in weights)
+            got = sum((weights[f] for f in features_of(word) if f in weights), 0.0)
+            if len(word) <= 40:
+                if len(self.known) > 150_000:
+                    self.known.clear()
+                self.known[word] = got
         return got
 
 
@@ -79,63 +80,86 @@ def over_gaps(gaps: np.ndarray, values: np.ndarray, right: np.ndarray, left: np.
     return np.einsum("i,k,j->kij", right[:, 0], np.ones(len(gaps)), left[0]) + ratio[:, None, None] * np.outer(right[:, 1], left[1])
 
 
+def follow(steps: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """The state after each step, scaled to a sum of one: state x steps[0] x ... x steps[k], for all k.
+
+    The steps are dealt to blocks of about the root of their number. The blocks go in step twice, once for
+    their products and once from the state that the blocks before them lead to.
+    """
+    n = len(steps)
+    size = max(1, int(np.ceil(np.sqrt(n))))
+    count = -(-n // size)
+    dealt = np.tile(np.eye(2), (count * size, 1, 1))
+    dealt[:n] = steps
+    dealt = dealt.reshape(count, size, 2, 2)
+    whole = dealt[:, 0]
+    for t in range(1, size):
+        whole = whole @ dealt[:, t]
+        whole = whole / whole.sum((1, 2), keepdims=True)
+    now = np.empty((count, 1, 2))
+    for k in range(count):
+        now[k, 0] = state / state.sum()
+        state = np.maximum(now[k, 0] @ whole[k], 1e-300)
+    out = np.empty((count, size, 2))
+    for t in range(size):
+        now = np.maximum(now @ dealt[:, t], 1e-300)
+        now = now / now.sum(2, keepdims=True)
+        out[:, t] = now[:, 0]
+    return out.reshape(-1, 2)[:n]
+
+
 def marginals(scores: list[np.ndarray], gaps: list[np.ndarray], bias: float, steps: tuple[float, float, float]) -> list[np.ndarray]:
     """P(T) of the tokens with features, by forward-backward over the whole text.
 
-    ``gaps`` counts the plain tokens before each of them and after the last. The texts of a batch go in step.
+    ``gaps`` counts the plain tokens before each of them and after the last. All texts form one chain: the
+    step that ends a text leads back to the state before any text. Memory follows the sum of the sizes.
     """
-    values, right, left = chain(bias, steps)
-    step = np.array([[0.0, steps[0]], [steps[1], steps[2]]])
-    order = np.argsort([-len(s) for s in scores], kind="stable")
-    sizes = np.array([len(scores[k]) for k in order])
+    sizes = np.array([len(s) for s in scores], np.int64)
     out: list[np.ndarray] = [np.zeros(0)] * len(scores)
-    top = int(sizes[0]) if len(sizes) else 0
-    if not top:
+    some = np.flatnonzero(sizes)
+    if not len(some):
         return out
-    u = np.zeros((len(order), top))
-    g = np.zeros((len(order), top + 1), np.int64)
-    for row, k in enumerate(order):
-        u[row, : sizes[row]] = scores[k]
-        g[row, : sizes[row] + 1] = gaps[k]
-    live = [int((sizes > t).sum()) for t in range(top)]
-    forward = np.zeros((top, len(order), 2))
-    state = np.tile([1.0, 0.0], (len(order), 1))  # before the text: O
-    enter = np.exp(step)
-    for t in range(top):
-        n = live[t]
-        now = np.einsum("ki,kij->kj", state[:n], over_gaps(g[:n, t], values, right, left)) @ enter
-        now[:, 1] *= np.exp(np.clip(u[:n, t] + bias, -60, 60))
-        now = np.maximum(now, 1e-300)
-        state = now / now.sum(1, keepdims=True)
-        forward[t, :n] = state
-    back = np.ones((len(order), 2))
-    inside = np.zeros((top, len(order)))
-    for t in range(top - 1, -1, -1):
-        n = live[t]
-        last = np.flatnonzero(sizes[:n] == t + 1)
-        beta = np.empty((n, 2))
-        more = n if t + 1 >= top else live[t + 1]
-        if t + 1 < top and live[t + 1]:
-            more = live[t + 1]
-            after = back[:more].copy()
-            after[:, 1] *= np.exp(np.clip(u[:more, t + 1] + bias, -60, 60))
-            beta[:more] = np.einsum("kij,kj->ki", over_gaps(g[:more, t + 1], values, right, left), after @ enter.T)
-        beta[last] = over_gaps(g[last, t + 1], values, right, left).sum(2)
-        beta = np.maximum(beta, 1e-300)
-        back = beta / beta.sum(1, keepdims=True)
-        both = forward[t, :n] * back
-        inside[t, :n] = both[:, 1] / both.sum(1)
-    for row, k in enumerate(order):
-        out[k] = inside[: sizes[row], row]
+    ends = np.cumsum(sizes[some] + 1) - 1
+    token = np.ones(ends[-1] + 1, bool)
+    token[ends] = False
+    between = over_gaps(np.concatenate([gaps[k] for k in some]), *chain(bias, steps))
+    moves = between @ np.exp(np.array([[0.0, steps[0]], [steps[1], steps[2]]]))
+    moves[token, :, 1] *= np.exp(np.clip(np.concatenate([scores[k] for k in some]) + bias, -60, 60))[:, None]
+    moves[ends, :, 0] = between[ends].sum(2)
+    moves[ends, :, 1] = 0.0
+    moves = np.maximum(moves, 0.0)
+    moves /= moves.sum((1, 2), keepdims=True)
+    forward = follow(moves, np.array([1.0, 0.0]))[token]
+    # What comes after a token: the same walk from the end, over the steps turned round.
+    back = np.concatenate([follow(moves[:0:-1].transpose(0, 2, 1), np.ones(2))[::-1], np.ones((1, 2))])[token]
+    both = forward * back
+    inside = both[:, 1] / both.sum(1)
+    for k, part in zip(some, np.split(inside, np.cumsum(sizes[some])[:-1])):
+        out[k] = part
     return out
 
 
+def shares(texts: list[str | None], rows: int = 200, characters: int = 2_000_000) -> Iterator[list[str | None]]:
+    """The texts in order, in shares of at most so many rows and characters; a longer text is a share of its own."""
+    part: list[str | None] = []
+    held = 0
+    for text in texts:
+        size = len(text or "")
+        if part and (len(part) == rows or held + size > characters):
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += size
+    if part:
+        yield part
+
+
 def read_texts(model: Field, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Per text: places of the tokens with features among all tokens, their marginals; number of tokens."""
     places, scores, gaps, sizes = [], [], [], []
     of_word = model.of_word
     for text in texts:
-        s = np.array([of_word(w) for w in WORD.findall(text)] if text else [], float)
+        s = np.fromiter(map(of_word, WORD.findall(text or "")), float)
         at = np.flatnonzero(s)
         places.append(at)
         scores.append(s[at])
@@ -152,10 +176,24 @@ def document_features(inside: list[np.ndarray], sizes: np.ndarray) -> np.ndarray
     return np.stack([np.log(most / (1 - most)), np.log1p(many), np.log(many / np.maximum(sizes, 1) + 1e-5)], 1)
 
 
-def fit_field(sequences: list[list[tuple[tuple[int, ...], int]]], names: list[str], rounds: int) -> tuple[dict[str, float], float, tuple[float, float, float]]:
-    """Weights by gradient ascent on the likelihood of short labelled sequences of (features, label)."""
-    top, n = max(map(len, sequences)), len(sequences)
+def plain_likelihood(lengths: np.ndarray, bias: float, steps: tuple[float, float, float]) -> np.ndarray:
+    """Log probability that all tokens of a whole text of so many plain tokens are O."""
+    values, right, left = chain(bias, steps)
+    return -lengths * np.log(values[0]) - np.log(right[0, 0] * left[0].sum() + (values[1] / values[0]) ** lengths * right[0, 1] * left[1].sum())
+
+
+def fit_field(
+    sequences: list[list[tuple[tuple[int, ...], int]]], names: list[str], rounds: int, times: list[int] | None = None, plain: dict[int, int] | None = None,
+) -> tuple[dict[str, float], float, tuple[float, float, float]]:
+    """Weights by gradient ascent on the likelihood of short labelled sequences of (features, label).
+
+    ``times``: how often each sequence occurs (default: once). ``plain``: whole texts without any feature, all
+    O, as number of tokens and of texts.
+    """
+    top, n = max(map(len, sequences), default=1), len(sequences)
     width = max([1, *(len(f) for s in sequences for f, _ in s)])
+    often = np.ones(n) if times is None else np.array(times, float)
+    lengths, texts = np.array(list(plain or {}), float), np.array(list((plain or {}).values()), float)
     ids = np.full((n, top, width), len(names), np.int64)
     gold, real = np.zeros((n, top), np.int64), np.zeros((n, top), bool)
     for k, s in enumerate(sequences):
@@ -180,7 +218,7 @@ def fit_field(sequences: list[list[tuple[tuple[int, ...], int]]], names: list[st
             beta[t] = np.where(real[:, t + 1, None], b / b.sum(1, keepdims=True), 1.0)
         both = alpha * beta
         p = (both[:, :, 1] / both.sum(2)).T
-        error = np.where(real, gold - p, 0.0)
+        error = np.where(real, gold - p, 0.0) * often[:, None]
         gradient = np.zeros_like(w)
         gradient[: len(names) + 1] = np.bincount(ids.ravel(), np.repeat(error.ravel(), width), len(names) + 1)
         gradient[len(names)] = 0.0
@@ -189,9 +227,15 @@ def fit_field(sequences: list[list[tuple[tuple[int, ...], int]]], names: list[st
             pair = alpha[t - 1][:, :, None] * enter[None] * (beta[t] * local[:, t])[:, None, :]
             pair /= pair.sum((1, 2), keepdims=True)
             pair = np.where(real[:, t, None, None], pair, 0.0)
-            seen = real[:, t]
+            seen = real[:, t] * often
             for place, (i, j) in zip((-3, -2, -1), ((0, 1), (1, 0), (1, 1))):
-                gradient[place] += (seen & (gold[:, t - 1] == i) & (gold[:, t] == j)).sum() - pair[:, i, j].sum()
+                gradient[place] += (seen * ((gold[:, t - 1] == i) & (gold[:, t] == j)) - often * pair[:, i, j]).sum()
+        for place in range(-4, 0) if len(lengths) else ():
+            more, less = w[-4:].copy(), w[-4:].copy()
+            more[place] += 1e-5
+            less[place] -= 1e-5
+            change = plain_likelihood(lengths, more[0], tuple(more[1:])) - plain_likelihood(lengths, less[0], tuple(less[1:]))
+            gradient[place] += texts @ change / 2e-5
         gradient -= 0.05 * w
         momentum = 0.9 * momentum + 0.1 * gradient
         speed = 0.99 * speed + 0.01 * gradient**2
@@ -244,13 +288,13 @@ def train(labelled: DataFrame, docs: DataFrame, settings: Settings | None = None
     found = (
         sample.mapInArrow(count, "f string, clean long, bad long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
         .where(F.col("bad") >= least).withColumn("odds", odds).where("odds >= 1.5")
-        .orderBy(F.desc(F.col("odds") * F.log1p("bad")), "f").limit(settings.max_features).collect()
+        .orderBy(F.desc(F.col("odds") * F.log1p("bad")), "f").collect()
     )
     names = [r["f"] for r in found]
     number, strength = {f: k for k, f in enumerate(names)}, [r["odds"] for r in found]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of at most 16 tokens around tokens with features, and a plain run of each text."""
+        """Runs of at most 16 tokens around tokens with features; of a text without any, the number of tokens."""
         for batch in batches:
             texts = batch.column(1).to_pylist()
             out = []
@@ -260,8 +304,8 @@ def train(labelled: DataFrame, docs: DataFrame, settings: Settings | None = None
                 for k, w in enumerate(words):
                     if w:
                         near[max(0, k - 2) : k + 3] = True
-                if len(words) and not near[: len(words)].any():
-                    near[:16] = True
+                if words and not near[: len(words)].any():
+                    out.append((None, None, len(words)))
                 k = 0
                 while k < len(words):
                     if not near[k]:
@@ -271,24 +315,26 @@ def train(labelled: DataFrame, docs: DataFrame, settings: Settings | None = None
                     while end < len(words) and near[end] and end - k < 16:
                         end += 1
                     run = words[k:end]
-                    out.append((run, [int(y > 0 and any(strength[f] >= settings.first_label for f in w)) for w in run]))
+                    out.append((run, [int(y > 0 and any(strength[f] >= settings.first_label for f in w)) for w in run], None))
                     k = end
             yield pa.RecordBatch.from_pydict({
-                "runs": pa.array([r for r, _ in out], pa.list_(pa.list_(pa.int32()))), "labels": pa.array([l for _, l in out], pa.list_(pa.int32())),
+                "runs": pa.array([r for r, _, _ in out], pa.list_(pa.list_(pa.int32()))), "labels": pa.array([l for _, l, _ in out], pa.list_(pa.int32())),
+                "plain": pa.array([p for _, _, p in out], pa.int64()),
             })
 
-    # Equal runs are one; what reaches the driver is bounded by the labelled sample.
-    runs = sample.mapInArrow(cut, "runs array<array<int>>, labels array<int>").groupBy("runs", "labels").agg(F.count("*").alias("n")).collect()
-    sequences = [[(tuple(f), y) for f, y in zip(r["runs"], r["labels"])] for r in runs for _ in range(min(3, r["n"]))]
-    weights, bias, steps = fit_field(sequences, names, settings.rounds)
+    # Equal runs are one row with their number; what reaches the driver is bounded by the labelled sample.
+    runs = sample.mapInArrow(cut, "runs array<array<int>>, labels array<int>, plain long").groupBy("runs", "labels", "plain").agg(F.count("*").alias("n")).collect()
+    held = [r for r in runs if r["plain"] is None]
+    sequences = [[(tuple(f), y) for f, y in zip(r["runs"], r["labels"])] for r in held]
+    weights, bias, steps = fit_field(sequences, names, settings.rounds, [r["n"] for r in held], {r["plain"]: r["n"] for r in runs if r["plain"] is not None})
     model = Field({f: w for f, w in weights.items() if abs(w) > 1e-3}, bias, steps, [0.0, 1.0, 0.0, 0.0])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @pandas_udf("array<double>")
     def describe(texts: pd.Series) -> pd.Series:
         found = []
-        for k in range(0, len(texts), 200):
-            _, inside, _, sizes = read_texts(shared.value, texts.iloc[k : k + 200].tolist())
+        for part in shares(texts.tolist()):
+            _, inside, _, sizes = read_texts(shared.value, part)
             found += list(document_features(inside, sizes))
         return pd.Series(found)
 
@@ -328,8 +374,7 @@ def score_texts(df: DataFrame, model: Field | None, text: str = "text", name: st
     @pandas_udf(kind)
     def score(texts: pd.Series) -> pd.DataFrame:
         m, scores, spans = shared.value, [], []
-        for k in range(0, len(texts), 200):
-            part = texts.iloc[k : k + 200].tolist()
+        for part in shares(texts.tolist()):
             places, inside, _, sizes = read_texts(m, part)
             x = document_features(inside, sizes)
             scores.append(1 / (1 + np.exp(-np.clip(m.scale[0] + x @ np.array(m.scale[1:]), -30, 30))))

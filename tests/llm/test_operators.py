@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -88,6 +89,56 @@ def test_forward_backward_matches_enumeration():
         assert np.allclose(got[0], (inside / total)[at]) and not len(got[1])
 
 
+def test_marginals_of_many_texts_match_a_plain_walk():
+    rng = np.random.default_rng(2)
+    bias, steps = -1.5, (0.3, -0.7, 1.1)
+    enter = np.exp(np.array([[0.0, steps[0]], [steps[1], steps[2]]]))
+    texts = [np.where(rng.random(n) < 0.4, rng.normal(2, 3, n), 0.0) for n in (0, 1, 2, 900, 3, 50, 1, 400)]
+    places = [np.flatnonzero(s) for s in texts]
+    gaps = [np.diff(np.concatenate([[-1], at, [len(s)]])) - 1 for s, at in zip(texts, places)]
+    got = toxicity.marginals([s[at] for s, at in zip(texts, places)], gaps, bias, steps)
+    for s, at, found in zip(texts, places, got):
+        emit = np.stack([np.ones(len(s)), np.exp(s + bias)], 1)
+        forward, back, state = [], [np.ones(2)], np.array([1.0, 0.0])
+        for e in emit:
+            state = state @ enter * e
+            state = state / state.sum()
+            forward.append(state)
+        for e in emit[:0:-1]:
+            last = enter @ (back[-1] * e)
+            back.append(last / last.sum())
+        both = np.array(forward).reshape(-1, 2) * np.array(back[::-1])[: len(s)]
+        assert np.allclose(found, (both[:, 1] / both.sum(1))[at])
+
+
+def test_plain_texts_count_whole_and_equal_runs_as_often_as_they_occur():
+    bias, steps = -0.8, (0.4, -0.3, 0.9)
+    for n in (1, 2, 5):
+        total = 0.0
+        for y in itertools.product((0, 1), repeat=n):
+            v, at = 0.0, 0
+            for label in y:
+                v += [[0, steps[0]], [steps[1], steps[2]]][at][label] + label * bias
+                at = label
+            total += math.exp(v)
+        assert np.isclose(toxicity.plain_likelihood(np.array([float(n)]), bias, steps)[0], -math.log(total))
+    runs = [[((0,), 1), ((), 0)], [((1,), 0)]]
+    once = toxicity.fit_field([runs[0]] * 7 + [runs[1]] * 3, ["a", "b"], 40, None, {3: 2})
+    often = toxicity.fit_field(runs, ["a", "b"], 40, [7, 3], {3: 2})
+    assert np.allclose(list(once[0].values()), list(often[0].values())) and np.allclose(once[1], often[1]) and np.allclose(once[2], often[2])
+    assert toxicity.fit_field([], [], 40, [], {4: 10})[1] < 0
+
+
+def test_marginals_of_a_very_long_text_beside_short_ones():
+    tracemalloc.start()
+    sizes = [300_000] + [3] * 199
+    got = toxicity.marginals([np.full(n, 1.0) for n in sizes], [np.zeros(n + 1, np.int64) for n in sizes], -2.0, (0.1, 0.2, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(g) for g in got] == sizes and peak < 200 << 20
+    assert [len(p) for p in toxicity.shares(["a" * 5, None, "b" * 9, "c"], rows=2, characters=8)] == [2, 1, 1]
+
+
 def test_toxicity_on_held_out_documents(spark):
     rng = random.Random(3)
     rows = []
