@@ -75,7 +75,7 @@ def format_chats(
 
     Rows are ordered by turn, then role and text; null role or text counts as empty, a null turn comes
     first, rows with a null id form one conversation, repeated rows are repeated turns. Other columns
-    are ignored. A span is 0-based start and length, in code points of the escaped text. The task
+    are ignored. A span is 0-based start and length, in code points of the escaped text, and its 0-based turn. The task
     fails if a conversation does not parse back to its source, which the grammar rules out.
     """
     rows = df.select(
@@ -100,7 +100,10 @@ def format_chats(
     )
     span = F.when(
         F.col("role") == "assistant",
-        F.struct((F.col("start") + opening).alias("start"), (F.length("shown") - around).cast("long").alias("length")),
+        F.struct(
+            (F.col("start") + opening).alias("start"), (F.length("shown") - around).cast("long").alias("length"),
+            (F.col("i") - 1).cast("long").alias("turn"),
+        ),
     )
     whole = placed.groupBy("conv").agg(
         F.count("*").alias("n_turns"), F.count_if(~F.col("same")).alias("n_escaped"),
@@ -116,21 +119,44 @@ def format_chats(
     return whole.select(F.col("conv").alias(conv), "n_turns", proven.alias("formatted"), "loss", "n_escaped")
 
 
-def loss_text(formatted: Column, loss: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    texts = F.transform(loss, lambda s: unescape(formatted.substr((s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return F.array_join(texts, "")
+def read_turns(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
+    """One row per turn of the formatted conversations: id, turn (from 0), role, text, loss, shown_chars, n_escaped.
+
+    ``loss`` is the turn's text under the mask, null if none is; ``shown_chars`` its length as formatted. A conversation
+    is cut into its turns once and every span is taken from its own turn, so the work grows with its length and not
+    with the square. All rows of one stay in the task that formatted it.
+    """
+    none = F.lit(None)
+    shown = F.transform(
+        segments(F.col("formatted")),
+        lambda s, i: F.struct(i.cast("long").alias("turn"), s.alias("shown"), none.cast("long").alias("start"), none.cast("long").alias("length")),
+    )
+    spans = F.transform(
+        "loss",
+        lambda s: F.struct(s["turn"].alias("turn"), none.cast("string").alias("shown"), s["start"].alias("start"), s["length"].alias("length")),
+    )
+    turns = (
+        formatted.select(F.col(conv).alias("conv"), "n_escaped", F.explode(F.concat(shown, spans)).alias("p"))
+        .groupBy("conv", "p.turn").agg(*[F.max(f"p.{c}").alias(c) for c in ("shown", "start", "length")], F.max("n_escaped").alias("n_escaped"))
+    )
+    before = Window.partitionBy("conv").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("start") - F.coalesce(F.sum(F.length("shown")).over(before), F.lit(0)) + 1
+    masked = unescape(F.col("shown").substr(first.cast("int"), F.col("length").cast("int")))
+    return turns.withColumn("masked", masked).withColumn("t", parse_turn(F.col("shown"))).select(
+        F.col("conv").alias(conv), "turn", "t.role", "t.text", F.col("masked").alias("loss"),
+        F.length("shown").cast("long").alias("shown_chars"), "n_escaped",
+    )
 
 
 def digest_chats(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     """What the formatted strings and loss spans say when read back."""
-    heard = F.transform(
-        parse_chat(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    heard = read_turns(formatted, conv).groupBy(F.col(conv).alias("conv")).agg(
+        F.count("*").alias("n_turns"), F.sum("shown_chars").alias("formatted_chars"), F.max("n_escaped").alias("n_escaped"),
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text", "loss"))).alias("turns"),
     )
-    masked = loss_text(F.col("formatted"), F.col("loss"))
-    return formatted.select(
-        conv, F.size(segments(F.col("formatted"))).cast("long").alias("n_turns"),
-        F.sha2(F.array_join(heard, ""), 256).alias("turns_sha256"),
-        F.length(masked).cast("long").alias("loss_chars"), F.sha2(masked, 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"), "n_escaped",
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    masked = F.array_join("turns.loss", "")
+    return heard.select(
+        F.col("conv").alias(conv), "n_turns", F.sha2(said, 256).alias("turns_sha256"),
+        F.length(masked).cast("long").alias("loss_chars"), F.sha2(masked, 256).alias("loss_sha256"), "formatted_chars", "n_escaped",
     )

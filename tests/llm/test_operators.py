@@ -200,6 +200,19 @@ def test_only_conflicting_turns_are_escaped(spark):
     assert row.formatted[row.loss[0].start :][: row.loss[0].length] == r"<\/s>[\INST] ok [\/INST]"
 
 
+def test_long_conversations_read_back_turn_by_turn(spark):
+    n, hard = 6_000, [CONFLICT, "é \U0001f600 < b", "", "plain words " * 20]
+    rows = [(7, t, ("user", "assistant", "tool")[t % 3], hard[t % 4]) for t in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    formatted = chat.format_chats(df)
+    back = {r.turn: (r.role, r.text, r.loss) for r in chat.read_turns(formatted).collect()}
+    assert back == {t: (r, x, x if r == "assistant" else None) for _, t, r, x in rows}
+    got, whole = chat.digest_chats(formatted).first(), formatted.first()
+    assert (got.n_turns, got.formatted_chars, got.n_escaped) == (n, len(whole.formatted), whole.n_escaped)
+    loss = "".join(x for _, _, r, x in rows if r == "assistant")
+    assert got.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
 # decontamination
 
 
