@@ -72,6 +72,22 @@ def test_marks_in_keys_are_told_from_paths(spark):
     assert got == {"a\\.b", "a.b", "a\\[]", "\\", "c\\\\"}
 
 
+def test_types_of_numbers_and_texts_that_are_no_json(spark):
+    texts = ['[1, 1.0, 1e3, 9223372036854775807, 9223372036854775808, -0.5]', '{"a": 1, "a": 2}', "", '{"a": NaN}', "null", '"x"', "[[], [[{}]]]"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "value STRING")
+    got = {(r["path"], r["type"]): r["n"] for r in SH.key_presence(df, "value").collect()}
+    assert got == {
+        ("", "array"): 2, ("[]", "integer"): 2, ("[]", "number"): 4, ("", "malformed"): 3, ("", "null"): 1, ("", "string"): 1,
+        ("[]", "array"): 2, ("[][]", "array"): 1, ("[][][]", "object"): 1,
+    }
+
+
+def test_shape_runs_without_python(spark):
+    df = SH.key_presence(shape(spark, [{"a": 1}], [1]).repartition(2), "value", "batch")
+    plan = SH.schema_drift(df, "batch")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_partition_values_without_reading(spark, tmp_path):
     root = str(tmp_path / "t")
     assert S.list_partition_values(spark, root, "day").count() == 0
