@@ -305,12 +305,34 @@ def stream_distinct_users(spark, sf):
     return _run(S.drop_repeats(event_stream(spark, sf).select("user_id", "ts"), ["user_id"], "ts").select("user_id"), "users")
 
 
-@query("R1 R2", f"""
+@query("R1", f"""
     SELECT strftime(ts, '%Y%m%d') AS day, event_type AS lang, strftime({BUCKET_SQL}, '%Y%m%d%H%M') AS bucket, count(*) AS n
     FROM events GROUP BY ALL""")
 def stream_repack(spark, sf):
-    root, late, progress, state = (scratch_path(spark, f"stream-{part}") for part in ("rows", "late", "progress", "state"))
+    root, late, state = (scratch_path(spark, f"stream-{part}") for part in ("rows", "late", "state"))
     events = event_stream(spark, sf).select("event_id", "ts", "user_id", "value", F.col("event_type").alias("lang"))
-    S.repack_stream(events, root, late, progress, state, "ts").trigger(availableNow=True).start().awaitTermination()
+    S.repack_stream(events, root, late, state, "ts").trigger(availableNow=True).start().awaitTermination()
     rows = read_repacked(spark, root, EVENT_ROWS)
     return rows.groupBy("day", "lang", "bucket").agg(F.count("*").alias("n"))
+
+
+@query("R1 R2", f"""
+    WITH e AS (SELECT *, (year(ts) * 12 + month(ts)) * 2 + (day(ts) > 15)::INT + (event_type = 'error')::INT AS arrival FROM events),
+         b AS (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM e GROUP BY arrival),
+         m AS (SELECT e.*, coalesce(date_trunc('millisecond', ts) < date_trunc('millisecond', newest) - INTERVAL 1 HOUR, false) AS late FROM e JOIN b USING (arrival))
+    SELECT strftime(ts, '%Y%m%d') AS day, event_type AS lang, strftime({BUCKET_SQL}, '%Y%m%d%H%M') AS bucket,
+           count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS n_late FROM m GROUP BY ALL""")
+def stream_late(spark, sf):
+    """All events in the half months in which they arrive, errors one later; the stream is stopped and started again for each."""
+    arrival = (F.year("ts") * 12 + F.month("ts")) * 2 + (F.dayofmonth("ts") > 15).cast("int") + (F.col("event_type") == "error").cast("int")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "value", F.col("event_type").alias("lang"), arrival.alias("arrival"))
+    source, root, late, state = (scratch_path(spark, f"stream-{part}") for part in ("arrivals", "rows", "late", "state"))
+    for (at,) in sorted(events.select("arrival").distinct().collect()):
+        landed = events.where(F.col("arrival") == at).drop("arrival")
+        landed.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(landed.schema).parquet(source)
+        S.repack_stream(stream, root, late, state, "ts").trigger(availableNow=True).start().awaitTermination()
+    both = read_repacked(spark, root, EVENT_ROWS).withColumn("late", F.lit(0)).unionByName(
+        read_repacked(spark, late, EVENT_ROWS).withColumn("late", F.lit(1))
+    )
+    return both.groupBy("day", "lang", "bucket").agg(F.count_if(F.col("late") == 0).alias("n"), F.count_if(F.col("late") == 1).alias("n_late"))

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from postquarry.sinks.tables import repack_rows
 from postquarry.sources.files import TIME_FORMATS
@@ -55,46 +58,60 @@ def drop_repeats(df: DataFrame, key_cols: list[str], ts_col: str, delay: str = "
     return with_instant(df.mapInArrow(drop_local, df.schema), ts_col, delay).dropDuplicatesWithinWatermark(key_cols).drop("_instant")
 
 
+def mark_late(df: DataFrame, ts_col: str, cols: list[str], delay: str = "1 hour") -> DataFrame:
+    """``cols`` with ``late``: whether a row is older than the stream's watermark, which the query's own checkpoint keeps.
+
+    Windowed operators drop such rows unseen; here the watermark is only asked for, and every row goes on. A row without a
+    time is never late. Rows are dealt by their hash, so no bucket or language goes through one task. ``cols`` pass
+    through pandas: texts come back as they are, nullable integers only up to 2**53.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = with_instant(df, ts_col, delay).select(
+        *cols, "_instant", F.unix_millis("_instant").alias("_ms"), F.pmod(F.hash(*cols), F.lit(width)).alias("_part")
+    )
+
+    def mark(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark = state.getCurrentWatermarkMs()
+        for frame in frames:
+            yield frame[cols].assign(late=frame["_ms"] < watermark)
+
+    out = T.StructType([dealt.schema[c] for c in cols] + [T.StructField("late", T.BooleanType())])
+    return dealt.groupBy("_part").applyInPandasWithState(mark, out, "n INT", "append", GroupStateTimeout.NoTimeout)
+
+
 def repack_stream(
     df: DataFrame,
     root: str,
     late_root: str,
-    progress_root: str,
     checkpoint: str,
     ts_col: str,
     minutes: int = 15,
-    delay_seconds: int = 3600,
+    delay: str = "1 hour",
 ) -> DataStreamWriter:
-    """Append every row to the bucket of its event time; rows too late go to a table of their own.
+    """Append every row to the bucket of its event time; rows too late go to a table of their own, in the same layout.
 
-    A row is late when it is more than ``delay_seconds`` older than the newest row of the
-    earlier micro-batches. That mark is one row per micro-batch under ``progress_root``.
-    All outputs carry ``batch_id`` as a partition and replace it, so a repeated
-    micro-batch leaves no duplicates. Call ``start()`` on the result.
+    A row is late when it is more than ``delay`` older than the newest row of the earlier micro-batches: the
+    stream's watermark, which outlives a restart with the checkpoint. Rows travel as the JSON lines that are written.
+    Both outputs carry ``batch_id`` as a partition and replace it, so a repeated micro-batch leaves no duplicates.
+    Call ``start()`` on the result.
     """
+    rows = repack_rows(df, ts_col, minutes)
+    line = F.to_json(F.struct(*[c for c in rows.columns if c not in ("day", "lang")]), TIME_FORMATS)
+    packed = rows.select(F.col(ts_col).alias("_ts"), "day", "lang", F.concat("bucket", F.date_format(ts_col, "yyyyMMddHHmmssSSSSSS")).alias("_order"), line.alias("value"))
+    marked = mark_late(packed, "_ts", ["day", "lang", "_order", "value"], delay)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch = batch.persist()
-        newest = batch.agg(F.max(ts_col).alias("newest")).withColumn("batch_id", F.lit(batch_id))
-        if batch_id == 0:
-            mark = F.lit(None).cast("timestamp_ntz")
-        else:
-            done = spark.read.schema("newest TIMESTAMP_NTZ, batch_id BIGINT").parquet(progress_root).where(F.col("batch_id") < batch_id)
-            mark = F.lit(done.agg(F.max("newest")).first()[0]).cast("timestamp_ntz")
-        late = F.coalesce(F.col(ts_col) < mark - F.make_dt_interval(secs=F.lit(delay_seconds)), F.lit(False))
-        rows = repack_rows(batch.withColumn("_late", late), ts_col, minutes).withColumn("batch_id", F.lit(batch_id))
-        outputs = [(rows.where(~F.col("_late")), root, ["day", "lang", "batch_id"]), (rows.where("_late"), late_root, ["batch_id"])]
-        for table, path, folders in outputs:
+        for late, path in ((False, root), (True, late_root)):
             (
-                table.drop("_late").hint("rebalance", "day", "lang").sortWithinPartitions("day", "lang", "bucket", ts_col)
+                batch.where(F.col("late") == late).withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "day", "lang")
+                .sortWithinPartitions("day", "lang", "_order").select("value", "day", "lang", "batch_id")
                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .option("compression", "gzip").options(**TIME_FORMATS).partitionBy(*folders).json(path)
+                .option("compression", "gzip").partitionBy("day", "lang", "batch_id").text(path)
             )
-        newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(progress_root)
         batch.unpersist()
 
-    return df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return marked.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
 
 
 def late_counts(late: DataFrame) -> DataFrame:

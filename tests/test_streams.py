@@ -66,8 +66,8 @@ def test_repeats_across_batches_are_dropped(spark, tmp_path):
 def test_late_rows_go_to_their_own_table(spark, tmp_path, stream):
     """Row 6 (minute 3) is within the hour after batch 0; a row two hours old is late."""
     live, _ = source(spark, str(tmp_path / "late"), [*BATCHES, [("en", 20, 9), ("en", 350, 10)]])
-    root, late, progress, state = (str(tmp_path / p) for p in ("rows", "late_rows", "progress", "state"))
-    S.repack_stream(live, root, late, progress, state, "ts").trigger(availableNow=True).start().awaitTermination()
+    root, late, state = (str(tmp_path / p) for p in ("rows", "late_rows", "state"))
+    S.repack_stream(live, root, late, state, "ts").trigger(availableNow=True).start().awaitTermination()
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("bucket", T.StringType())])
     kept = {(r["id"], r["bucket"]) for r in read_repacked(spark, root, schema).collect()}
     assert {i for i, _ in kept} == set(range(1, 9)) | {10}
@@ -79,8 +79,26 @@ def test_late_rows_go_to_their_own_table(spark, tmp_path, stream):
 
 def test_a_repeated_micro_batch_leaves_no_duplicates(spark, tmp_path, stream):
     live, batch = stream
-    root, late, progress = (str(tmp_path / p) for p in ("rows", "late_rows", "progress"))
+    root, late = (str(tmp_path / p) for p in ("rows", "late_rows"))
     for attempt in ("a", "b"):  # a lost checkpoint replays the same batches
-        S.repack_stream(live, root, late, progress, str(tmp_path / attempt), "ts").trigger(availableNow=True).start().awaitTermination()
+        S.repack_stream(live, root, late, str(tmp_path / attempt), "ts").trigger(availableNow=True).start().awaitTermination()
     schema = T.StructType([T.StructField("id", T.LongType())])
     assert sorted(r["id"] for r in read_repacked(spark, root, schema).collect()) == sorted(r["id"] for r in batch.collect())
+
+
+def test_the_watermark_outlives_a_restart_and_values_stay_exact(spark, tmp_path):
+    schema = "lang STRING, ts TIMESTAMP_NTZ, id BIGINT, note STRING"
+    big, state, folder = (1 << 62) + 1, str(tmp_path / "state"), str(tmp_path / "in")
+    runs = [
+        [("en", START + timedelta(hours=9, microseconds=7), big, "a\n\"b\""), ("de", None, None, None)],
+        [("en", START + timedelta(hours=7, minutes=59), 2, "é"), ("en", START + timedelta(hours=8), 3, ""), (None, None, 4, "no time")],
+    ]
+    for part in runs:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        live = spark.readStream.schema(schema).parquet(folder)
+        S.repack_stream(live, str(tmp_path / "rows"), str(tmp_path / "late"), state, "ts").trigger(availableNow=True).start().awaitTermination()
+    read = lambda p: {(r["id"], r["note"], r["ts"]) for r in spark.read.schema(schema).json(str(tmp_path / p)).collect()}
+    assert read("late") == {(2, "é", START + timedelta(hours=7, minutes=59))}
+    assert read("rows") == {
+        (big, "a\n\"b\"", START + timedelta(hours=9, microseconds=7)), (None, None, None), (3, "", START + timedelta(hours=8)), (4, "no time", None),
+    }
