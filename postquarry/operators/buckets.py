@@ -127,6 +127,20 @@ def rows_at(
     return places.join(df, [lang_col, bucket_col, offset_col])
 
 
+def random_rows(
+    df: DataFrame, n: int, seed: int, order_cols: list[str], lang_col: str = "lang", bucket_col: str = "bucket",
+) -> DataFrame:
+    """``n`` random rows per language, with replacement: the columns of ``df``, ``draw, position, offset``.
+
+    Only rows that exist are counted and numbered, so every draw gives a row. ``order_cols`` are unique within
+    a bucket. Rows without a language or bucket are never drawn; a language without rows has no draws.
+    """
+    held = df.where(F.col(lang_col).isNotNull() & F.col(bucket_col).isNotNull())
+    index = bucket_index(held, lang_col, bucket_col)
+    located = locate_positions(sample_positions(index, n, seed, lang_col), index, lang_col)
+    return rows_at(held, located, lang_col, bucket_col, order_cols=order_cols)
+
+
 def sample_distinct(
     df: DataFrame, key_col: str, n: int, seed: int, order_cols: list[str] | None = None, direct: int = 100_000,
 ) -> DataFrame:

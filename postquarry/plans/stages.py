@@ -6,17 +6,20 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postquarry.functions import posts as P
 from postquarry.functions import times as TM
+from postquarry.operators import buckets as B
+from postquarry.operators import catalog as C
 from postquarry.operators import filters as FL
 from postquarry.operators import pick as PK
 from postquarry.operators import relevance as R
 from postquarry.operators import shape as SH
 from postquarry.operators import stats as ST
-from postquarry.session import materialize
+from postquarry.session import materialize, small_table
 from postquarry.sinks import tables as K
 from postquarry.sources.archive import read_archive
 from postquarry.sources.files import list_partition_values, read_repacked_lines, read_repacked_tree
@@ -41,12 +44,36 @@ class Stage:
     is_sink: bool = False
 
 
-def sink(name: str, write: Callable[[DataFrame], None], requires: list[str] | None = None, sees_rejected: bool = False) -> Stage:
+def sink(
+    name: str, write: Callable[[DataFrame], None], requires: list[str] | None = None, sees_rejected: bool = False,
+    status: str | None = None, month: tuple[int, int] | None = None,
+) -> Stage:
+    """``status`` is the folder in which what was written is marked afterwards: ``month``, else the months of the posts' dumps.
+
+    Dumps are collected in the pass that writes; a run that fails marks nothing.
+    """
+
     def apply(df: DataFrame) -> DataFrame:
-        write(df)
+        if status is None:
+            write(df)
+            return df
+        spark = df.sparkSession
+        if month is not None:
+            write(df)
+            K.write_status(small_table(spark, [month], ["year", "month"]), status, name)
+            return df
+        seen = Observation()
+        write(df.observe(seen, F.collect_set("dump").alias("dumps")))
+        try:
+            dumps = seen.get["dumps"]
+        except Py4JJavaError:
+            # Where nothing was left to write, the counter is dropped from the plan with the empty table.
+            dumps = []
+        if dumps:
+            K.write_status(C.months_found(small_table(spark, [(d,) for d in sorted(dumps)], ["path"])), status, name)
         return df
 
-    return Stage(name, apply, requires or [], sees_rejected, is_sink=True)
+    return Stage(name, apply, [*(requires or []), *(["dump"] if status and month is None else [])], sees_rejected, is_sink=True)
 
 
 def accepted(df: DataFrame) -> DataFrame:
@@ -62,7 +89,7 @@ def _filter(langs: list[str], filter_sensitive: bool = False, filter_no_location
     return Stage("filter", apply, ["lang", *P.ORIGIN_MARKERS], sees_rejected=True)
 
 
-def _stats(path: str, collect_hashtags: bool = False) -> Stage:
+def _stats(path: str, collect_hashtags: bool = False, status: str | None = None) -> Stage:
     def write(df: DataFrame) -> None:
         # The sum over all dumps is left to the reader: a run holds some of them.
         levels = ST.hierarchy_counts(df, ["dump", "archive", "member"], reject_col=REJECT if REJECT in df.columns else None)
@@ -71,10 +98,10 @@ def _stats(path: str, collect_hashtags: bool = False) -> Stage:
             tags = accepted(df).withColumn("tags", P.hashtags(F.col("entities")))
             K.write_tag_counts(ST.frequency(tags, ["dump", "lang"], "tags"), f"{path}/hashtags", by=("dump",))
 
-    return sink("stats", write, ["dump", "archive", "member", "lang"], sees_rejected=True)
+    return sink("stats", write, ["dump", "archive", "member", "lang"], sees_rejected=True, status=status)
 
 
-def _index(path: str, tz: str = "UTC") -> Stage:
+def _index(path: str, tz: str = "UTC", status: str | None = None) -> Stage:
     def write(df: DataFrame) -> None:
         located = df.select(
             TM.event_time(F.col("timestamp_ms"), tz).alias("ts"), "lang",
@@ -82,17 +109,25 @@ def _index(path: str, tz: str = "UTC") -> Stage:
         )
         K.write_post_index(PK.index_rows(located, "ts", "lang", "url", ["location_index"]), path)
 
-    return sink("index", write, ["timestamp_ms", "user", "id", *PK.LOCATION])
+    return sink("index", write, ["timestamp_ms", "user", "id", *PK.LOCATION], status=status)
+
+
+def _full_posts(path: str, tz: str = "UTC") -> Stage:
+    """The source text of every post beside its address, time and place."""
+    return sink(
+        "full-posts", lambda df: K.write_full_posts(PK.full_posts(df, tz=tz), path),
+        ["value", "timestamp_ms", "timestamp", "user", "id", "text", *PK.LOCATION],
+    )
 
 
-def _annotation(path: str, year: int, month: int, skip_minutes: int = 0, tz: str = "UTC") -> Stage:
+def _annotation(path: str, year: int, month: int, skip_minutes: int = 0, tz: str = "UTC", status: str | None = None) -> Stage:
     def write(df: DataFrame) -> None:
         timed = FL.in_month(df.withColumn("_ts", TM.event_time(F.col("timestamp_ms"), tz)), "_ts", year, month)
         slotted = PK.with_slot(timed, "_ts")
         picked = PK.first_k(slotted, ["lang", "slot_date", "slot_hour"], ["_ts", *PK.LOCATION], 1, skip_minutes, "_ts")
         K.write_candidates(PK.candidates(picked, tz), path)
 
-    return sink("annotation", write, ["timestamp_ms", "lang", *PK.LOCATION])
+    return sink("annotation", write, ["timestamp_ms", "lang", *PK.LOCATION], status=status, month=(year, month))
 
 
 def _repack(path: str, time_group_resolution: int = 15, gzip_files: bool = True, skip_existing_days: bool = True, tz: str = "UTC") -> Stage:
@@ -152,6 +187,7 @@ REGISTRY: dict[str, Callable[..., Stage]] = {
     "filter": _filter,
     "stats": _stats,
     "index": _index,
+    "full-posts": _full_posts,
     "schema": _schema,
     "annotation": _annotation,
     "media-filter": _media_filter,
@@ -190,20 +226,26 @@ def run_stages(df: DataFrame, stages: list[Stage]) -> DataFrame:
 
 
 def read_posts(spark: SparkSession, source: str, path: str, langs: list[str] | None = None, keep_raw: bool = False, **options: Any) -> DataFrame:
-    """Posts with location from ``dump`` (archives) or ``repack`` (what the repack stage wrote, or a plain repacked tree).
+    """Posts with location from ``dump`` (archives), ``repack`` (what the repack stage wrote, or a plain repacked tree) or ``random``.
 
+    ``random`` draws ``n`` posts per language, with replacement and by ``seed``, from a repacked source; ``draw`` numbers them.
     ``langs`` keeps the posts of these languages; ``options`` go to the archive reader, a repacked
     source has ``months``.
     """
     if source == "dump":
         posts = P.parse_posts(read_archive(spark, path, **options), keep_raw=keep_raw)
         return posts.where(F.col("lang").isin(langs)) if langs is not None else posts
-    if source == "repack":
+    if source in ("repack", "random"):
         months = options.pop("months", None)
+        draws = (options.pop("n"), options.pop("seed")) if source == "random" else None
         if options:
-            raise TypeError(f"a repacked source has no options {sorted(options)}")
+            raise TypeError(f"a {source} source has no options {sorted(options)}")
         own = not list_partition_values(spark, path, "origin").isEmpty()
         lines = (read_repacked_lines if own else read_repacked_tree)(spark, path, months=months, langs=langs)
+        if draws:
+            # Files of a plain tree are named by their bucket.
+            bucketed = lines if own else lines.withColumn("bucket", F.regexp_extract("member", r"^\d+", 0))
+            lines = B.random_rows(bucketed, *draws, PK.LOCATION).drop("offset")
         return P.parse_posts(lines.withColumnRenamed("lang", "folder_lang"), keep_raw=keep_raw)
     raise ValueError(f"unknown source {source!r}")
 

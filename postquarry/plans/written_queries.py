@@ -294,6 +294,46 @@ def stage_repack(spark, sf):
     return SG.read_posts(spark, "repack", path, langs=STAGE_LANGS).select("id", "lang", F.md5("text").alias("text_md5"), "dump")
 
 
+@query("X3 T6 W6", """
+    WITH r AS (SELECT doc_id, lang, text, row_number() OVER (PARTITION BY lang ORDER BY (999 + doc_id * 77777) // 900000, doc_id) - 1 AS position FROM documents),
+         t AS (SELECT lang, count(*) AS total FROM documents GROUP BY 1),
+         d AS (SELECT lang, draw, CAST('0x' || substr(md5('11:' || lang || ':' || draw), 1, 15) AS BIGINT) % total AS position
+               FROM t, (SELECT unnest(range(0, 100)) AS draw))
+    SELECT lang, draw, r.doc_id AS id, md5(r.text) AS text_md5 FROM d JOIN r USING (lang, position) WHERE lang <> 'de'""")
+def random_posts(spark, sf):
+    """Random posts of the repacked documents, sent through a filter stage."""
+    path = scratch_path(spark, "repacked")
+    SG.run_stages(located_posts(spark, sf, keep_raw=True), SG.build_stages([("repack", {"path": path})]))
+    langs = [row[0] for row in table(spark, sf, "documents").select("lang").distinct().collect()]
+    drawn = SG.read_posts(spark, "random", path, n=100, seed=11)
+    left = SG.run_stages(drawn, SG.build_stages([("filter", {"langs": [x for x in langs if x != "de"]})]))
+    return left.select("lang", "draw", "id", F.md5("text").alias("text_md5"))
+
+
+@query("J11 X1 X2", """
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, true AS stats,
+           bool_or(o_orderstatus = 'F') AS index, year(o_orderdate) = 1995 AND month(o_orderdate) IN (3, 4) AS annotation
+    FROM orders GROUP BY year(o_orderdate), month(o_orderdate)""")
+def month_status(spark, sf):
+    """What several runs of stages leave in the status: all months counted, those with finished orders indexed, two picked from."""
+    status, out = scratch_path(spark, "status"), scratch_path(spark, "staged")
+    made = F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("id_str"), F.col("o_orderstatus").alias("lang"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string").alias("timestamp_ms"), F.col("o_orderpriority").alias("text"),
+        F.struct(F.col("o_custkey").cast("string").alias("screen_name")).alias("user"),
+    )
+    posts = P.parse_posts(table(spark, sf, "orders").select(F.to_json(made).alias("value")))
+    day = TM.event_time(F.col("timestamp_ms"), "UTC")
+    place = [F.concat(F.lit("stream-"), TM.year_month(day)), F.date_format(day, "yyyyMMdd"), F.col("text"), F.col("id")]
+    posts = posts.withColumns(dict(zip(PK.LOCATION, place)))
+    runs = [(posts, ("stats", {"path": f"{out}/stats"}))]
+    runs += [(run, ("index", {"path": f"{out}/index"})) for run in in_runs(posts.where("lang = 'F'"), "id % 2 = 0")]
+    runs += [(posts, ("annotation", {"path": f"{out}/picked", "year": 1995, "month": month})) for month in (3, 4)]
+    for run, (name, options) in runs:
+        SG.run_stages(run, SG.build_stages([(name, {**options, "status": status})]))
+    return FS.read_status(spark, status, posts.select(F.concat(F.lit("/data/"), "dump").alias("path")))
+
+
 @query("X5 F5 F6", """
     SELECT doc_id, n_chars FROM documents JOIN labels USING (doc_id) WHERE (toxic = 1 OR quality = 0) AND n_chars > 140""")
 def long_media_posts(spark, sf):

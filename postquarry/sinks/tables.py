@@ -135,6 +135,12 @@ def nested_stats(finest: DataFrame, archive: str, member: str, lang: str, total:
     return items.join(accepted, archive).select(archive, document.alias("stats"))
 
 
+def write_status(months: DataFrame, path: str, output: str) -> None:
+    """Mark ``year, month`` as held by an output; marks of other months and outputs stay, one made twice stands once."""
+    marks = months.select("year", "month").distinct().withColumn("output", F.lit(output)).withColumn("available", F.lit(True))
+    marks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("output", "year", "month").parquet(path)
+
+
 def write_tag_counts(counts: DataFrame, path: str, lang_col: str = "lang", by: tuple[str, ...] = ()) -> None:
     write_by(counts, path, [*by, lang_col])
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from postquarry.functions import naming as N
 from postquarry.functions import times as TM
 from postquarry.operators.buckets import index_counts
+from postquarry.operators.catalog import month_catalog, months_found
 from postquarry.sources.archive import DUMP_NAME, open_folder, read_tree
 
 # JSON times keep their microseconds.
@@ -149,6 +150,14 @@ def list_months(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(p,) for p in paths], "path STRING")
 
 
+def read_status(spark: SparkSession, path: str, listing: DataFrame, outputs: tuple[str, ...] = ("stats", "index", "annotation")) -> DataFrame:
+    """Every month of a folder listing (``path``) with what the stages have marked for it so far: ``year, month`` and a flag per output."""
+    held = not list_partition_values(spark, path, "output").isEmpty()
+    schema = "available BOOLEAN, output STRING, year INT, month INT"
+    marks = spark.read.schema(schema).parquet(path) if held else spark.createDataFrame([], schema)
+    return month_catalog(months_found(listing), {name: marks.where(F.col("output") == name) for name in outputs})
+
+
 def list_partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
     """Values of the first partition column of a table, from its folder names alone."""
     import pyarrow.fs as pafs

@@ -140,3 +140,53 @@ def test_a_second_month_and_a_second_filter_leave_the_first(spark, tmp_path):
     assert sorted((r["dump"], r["total"], r["accepted"]) for r in levels.collect()) == [("2022-01", 4, 2), ("2022-02", 3, 1)]
     tags = spark.read.parquet(str(tmp_path / "stats" / "hashtags"))
     assert sorted((r["dump"], r["n"]) for r in tags.collect()) == [("2022-01", 2), ("2022-02", 1)]
+
+
+def test_status_is_kept_between_runs(spark, root, tmp_path):
+    status, out = str(tmp_path / "status"), str(tmp_path)
+    listing = spark.createDataFrame([("/x/stream-2022-01",), ("/x/stream-2022-02",), ("/x/other",)], "path STRING")
+    flags = lambda: {tuple(r) for r in S.read_status(spark, status, listing).collect()}
+    assert flags() == {(2022, 1, False, False, False), (2022, 2, False, False, False)}
+    posts = ST.read_posts(spark, "dump", root, keep_raw=True)
+    ST.run_stages(posts, ST.build_stages([("index", {"path": f"{out}/index", "status": status})]))
+    ST.run_stages(posts.where("lang = 'none such'"), ST.build_stages([("stats", {"path": f"{out}/stats", "status": status})]))
+    assert flags() == {(2022, 1, False, True, False), (2022, 2, False, False, False)}
+    for _ in range(2):
+        ST.run_stages(posts, ST.build_stages([("stats", {"path": f"{out}/stats", "status": status}),
+                                              ("annotation", {"path": f"{out}/picked", "year": 2022, "month": 2, "status": status})]))
+    assert flags() == {(2022, 1, True, True, False), (2022, 2, False, False, True)}
+
+
+def test_full_posts_stage(spark, root, tmp_path):
+    posts = ST.read_posts(spark, "dump", root, keep_raw=True)
+    ST.run_stages(posts, ST.build_stages([("filter", {"langs": ["de"]}), ("full-posts", {"path": str(tmp_path / "full")})]))
+    stored = spark.read.parquet(str(tmp_path / "full")).select("content", "language").collect()
+    assert len(stored) == 10 and {json.loads(r["content"])["id"] % 3 for r in stored} == {0}
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_random_posts_come_from_rows_that_exist(spark, root, tmp_path, plain):
+    import gzip
+
+    folder = tmp_path / "repacked"
+    if plain:  # a plain tree with blank lines
+        for lang, bucket, ids in (("en", "202201010000", [1, 2]), ("en", "202201010015", [3]), ("de", "202201010000", [4])):
+            day = folder / "repack-2022-01" / "20220101" / lang
+            day.mkdir(parents=True, exist_ok=True)
+            body = "\n\n  \n".join(json.dumps(post(i, "2022-01-01 00:00:00", lang)) for i in ids) + "\n\n"
+            (day / f"{bucket}.jsonl.gz").write_bytes(gzip.compress(body.encode()))
+        want = {"en": {1, 2, 3}, "de": {4}}
+    else:
+        ST.run_stages(ST.read_posts(spark, "dump", root, keep_raw=True), ST.build_stages([("filter", {"langs": ["en", "de"]}), ("repack", {"path": str(folder)})]))
+        want = {"en": {i for i in range(30) if i % 3}, "de": {i for i in range(30) if not i % 3}}
+    drawn = ST.read_posts(spark, "random", str(folder), n=200, seed=3)
+    rows = [(r["lang"], r["draw"], r["id"]) for r in drawn.collect()]
+    assert sorted(r[:2] for r in rows) == sorted((lang, k) for lang in want for k in range(200))
+    found = {lang: {i for x, _, i in rows if x == lang} for lang in want}
+    assert found["de"] == want["de"] and found["en"] <= want["en"] | {100}
+    assert len(found["en"]) == len(want["en"]) or not plain
+    again = ST.read_posts(spark, "random", str(folder), n=200, seed=3, langs=["en"])
+    assert sorted((r["draw"], r["id"]) for r in again.collect()) == sorted(r[1:] for r in rows if r[0] == "en")
+    with pytest.raises(TypeError):
+        ST.read_posts(spark, "random", str(folder), n=1, seed=3, other=1)
+
