@@ -171,7 +171,7 @@ def test_random_posts_come_from_rows_that_exist(spark, root, tmp_path, plain):
     folder = tmp_path / "repacked"
     if plain:  # a plain tree with blank lines
         for lang, bucket, ids in (("en", "202201010000", [1, 2]), ("en", "202201010015", [3]), ("de", "202201010000", [4])):
-            day = folder / "repack-2022-01" / "20220101" / lang
+            day = folder / "2022-01" / "20220101" / lang
             day.mkdir(parents=True, exist_ok=True)
             body = "\n\n  \n".join(json.dumps(post(i, "2022-01-01 00:00:00", lang)) for i in ids) + "\n\n"
             (day / f"{bucket}.jsonl.gz").write_bytes(gzip.compress(body.encode()))
