@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from postquarry.llm.common import bucket_of, on_exit, range_bounds, shuffle_width
 from postquarry.session import scratch_path, ship_package
 
-KEPT_WORDS, JOINED_WORDS, BATCH_BYTES = 500_000, 256, 4 << 20
+KEPT_WORDS, JOINED_WORDS, BATCH_BYTES = 800_000, 256, 4 << 20
 
 # A byte-level tokenizer cuts before a space that a letter, a digit or a printable ASCII sign follows.
 CUT, NO_CUT = r" ([!-~\p{L}\p{N}])", r" (?:[^!-~\p{L}\p{N}]|$)"
@@ -68,10 +68,11 @@ class Encoder:
 
     def _learn(self, words: pa.StringArray) -> None:
         """Add words, none of them known, to the memory."""
-        plain, ids = words.to_pylist(), [self.ids]
-        for k in range(0, len(plain), JOINED_WORDS * 64):
-            ends = range(k, min(k + JOINED_WORDS * 64, len(plain)), JOINED_WORDS)
-            ids += self._ask([" " + " ".join(plain[j : j + JOINED_WORDS]) for j in ends])
+        ids = [self.ids]
+        for k in range(0, len(words), JOINED_WORDS * 64):
+            some = words.slice(k, JOINED_WORDS * 64)
+            ends = pa.array([*range(0, len(some), JOINED_WORDS), len(some)], pa.int32())
+            ids += self._ask([" " + text for text in pc.binary_join(pa.ListArray.from_arrays(ends, some), " ").to_pylist()])
         new = np.concatenate(ids[1:])
         lengths = pc.add(pc.binary_length(words), 1).to_numpy()
         ends = np.searchsorted(np.cumsum(self.bytes_of[new]), np.cumsum(lengths, dtype=np.int64)) + 1

@@ -588,3 +588,14 @@ def test_fingerprints_match_plain_python(spark):
     assert fingerprints.fingerprint_documents(nothing(spark)).count() == 0
     one = fingerprints.fingerprint_documents(documents(spark).where("doc_id = 7")).first()
     assert one.near_next == 1.0
+
+
+def test_token_memory_holds_the_words_of_a_task():
+    encoder, asked = tokens.Encoder(TOKENIZER), []
+    texts = [" ".join(f"w{k:x}" for k in range(start, start + 100_000)) for start in range(0, 600_000, 100_000)]
+    first = [encoder.encode([t])[0] for t in texts]
+    ask = encoder._ask
+    encoder._ask = lambda some: asked.extend(some) or ask(some)
+    assert [encoder.encode([t])[0] for t in texts] == first
+    assert asked == [t.split(" ", 1)[0] for t in texts]  # the words that start a text, nothing learned again
+    assert np.frombuffer(first[3][:400], "<u4").tolist() == encoder.tokenizer.encode(texts[3][:2000], add_special_tokens=False).ids[:100]
