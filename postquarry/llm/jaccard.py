@@ -77,18 +77,20 @@ class Bands:
         for band in range(int(first), int(last) + 1):
             top = self.tops[band]
             most = self.differ(top, top)
-            out.append((band, most + 1 + (most * 3 // 100 + 2 if most else 0), self.differ(size, min(top, largest))))
+            out.append((band, most + 1 + (most // 5 + 2 if most else 0), self.differ(size, min(top, largest))))
         return out
 
 
 def signatures(hashes: np.ndarray, bands: Bands, cut: int = 0) -> np.ndarray:
-    """Keys of a set: one per band and class that holds an element, the sum of its mixed hashes there.
+    """Keys of a set: one per band and class that holds two elements or more, the sum of its mixed hashes there.
 
     Every ``cut`` deals the elements to other classes.
 
     A set with more such classes than a partner can spoil by differing agrees with the partner on one of
-    them. A set with fewer shows its smallest elements too (prefix filter): they find the partners that
-    are as poor in classes.
+    them, and the partner shows that class too, as it holds the same elements there. Single elements, which
+    unlike sets often share, are left out therefore. A set with too few such classes shows those of one element
+    as well, and one that is poor in both its smallest elements too (prefix filter): they find the partners
+    that are as poor in classes.
     """
     out, n = [], len(hashes)
     if cut:
@@ -98,9 +100,13 @@ def signatures(hashes: np.ndarray, bands: Bands, cut: int = 0) -> np.ndarray:
         edges = (np.arange(1, classes) / classes * 2.0**64).astype(np.uint64)
         at = np.concatenate([[0], np.searchsorted(hashes, edges), [n]])
         filled = at[1:] > at[:-1]
+        poor = filled.sum() <= most
+        strong = at[1:] > at[:-1] + 1
+        if strong.sum() > most:
+            filled = strong
         seed = mix(np.arange(classes, dtype=np.uint64) + np.uint64(band << 32))
         out.append(mix(mixed[at[1:]] - mixed[at[:-1]] + seed)[filled])
-        if filled.sum() <= most:
+        if poor:
             prefix = hashes[: n - -(-n * bands.percent // 100) + 1]
             out.append(mix(prefix + np.uint64((2 * band + 1) * 0x632BE59BD9B4E019 % (1 << 64))))
     return np.concatenate(out)

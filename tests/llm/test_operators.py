@@ -406,6 +406,17 @@ def test_linked_sets_share_a_signature(percent):
             assert len(np.intersect1d(jaccard.signatures(x, bands, cut), jaccard.signatures(y, bands, cut)))
 
 
+def test_a_passage_in_common_makes_no_family():
+    rng = np.random.default_rng(80)
+    bands = jaccard.Bands(80)
+    passage = rng.integers(0, 2**64, 12, np.uint64)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**64, 300, np.uint64)])) for _ in range(400)]
+    for cut in range(2):
+        keys = np.concatenate([jaccard.signatures(s, bands, cut) for s in sets])
+        _, often = np.unique(keys, return_counts=True)
+        assert (often - 1).sum() < 40  # with elements that are alone in their class 350 and more are tied
+
+
 def test_lists_are_entered_at_the_sizes_that_can_match():
     rng = np.random.default_rng(4)
     common = rng.integers(0, 2**64, 20, np.uint64)
