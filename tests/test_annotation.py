@@ -170,3 +170,16 @@ def test_codes_outside_the_domain_do_not_break_agreement(spark):
     answers = spark.createDataFrame(rows, "item INT, question STRING, answer STRING, coder STRING")
     assert [tuple(r) for r in AN.agreed(answers, {"q": ["a", "b"]}).collect()] == [(1, "q", "a")]
     assert [r["item"] for r in AN.disagreed(answers, {"q": ["a", "b"]}).collect()] == [2]
+
+
+def test_tasks_follow_the_number_of_lines(spark, monkeypatch):
+    from postquarry import session
+    from postquarry.plans import answer_queries as Q
+
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    lines = Q.coded_lines(spark, sf)
+    held = lines.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert held < lines.count() / 6
+    listed = AN.disagreed_long(Q.long_answers(spark, sf))
+    assert listed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # lines by order, nothing after that
