@@ -183,3 +183,6 @@ def test_tasks_follow_the_number_of_lines(spark, monkeypatch):
     assert held < lines.count() / 6
     listed = AN.disagreed_long(Q.long_answers(spark, sf))
     assert listed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # lines by order, nothing after that
+    kappa = AN.fleiss_kappa(Q.order_items(spark, sf), Q.long_answers(spark, sf), Q.DOMAINS)
+    plan = kappa._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and not [line for line in plan.splitlines() if "LeftSemi" in line and "Broadcast" in line]
