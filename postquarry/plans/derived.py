@@ -16,6 +16,19 @@ from postquarry.session import ship_package
 from postquarry.sources.archive import open_folder
 
 
+#: Lines that are joined and packed at a time.
+PACKED_LINES = 256
+
+
+def pack_lines(lines: pd.Series, bzip2: bool) -> bytes:
+    """The lines as one compressed member, some of them at a time."""
+    packed = io.BytesIO()
+    with bz2.open(packed, "wb") if bzip2 else gzip.open(packed, "wb") as member:
+        for start in range(0, max(1, len(lines)), PACKED_LINES):
+            member.write(("\n".join(lines.iloc[start : start + PACKED_LINES]) + "\n").encode())
+    return packed.getvalue()
+
+
 def write_archive(df: DataFrame, root: str, month: str, value_col: str = "value", damaged: bool = False) -> int:
     """Write the JSON lines of ``df`` as tar files below ``<root>/dump-<month>``; returns the lines written.
 
@@ -35,8 +48,7 @@ def write_archive(df: DataFrame, root: str, month: str, value_col: str = "value"
         written = 0
         with fs.open_output_stream(partial) as out, tarfile.open(fileobj=out, mode="w|") as tar:
             for number, batch in enumerate(batches):
-                data = ("\n".join(batch[value_col]) + "\n").encode()
-                packed = bz2.compress(data) if number % 2 else gzip.compress(data)
+                packed = pack_lines(batch[value_col], number % 2 == 1)
                 info = tarfile.TarInfo(f"lines/{number:08d}.json.{'bz2' if number % 2 else 'gz'}")
                 info.size = len(packed)
                 tar.addfile(info, io.BytesIO(packed))

@@ -47,7 +47,7 @@ ARCHIVE_NAME = re.compile(r"(\d{8})\.tar$")
 TREE_FILE = re.compile(r"/(\d{4}-\d{2})/(\d{8})/([^/]+)/(\d{12}\.jsonl\.gz)$")
 MEMBER_ENDINGS = (".json.gz", ".json.bz2")
 
-SPOOL_BYTES = 64 << 20
+SPOOL_BYTES = 8 << 20
 OPEN_COST = 1 << 20
 BATCH_ROWS = 4096
 BATCH_BYTES = 8 << 20

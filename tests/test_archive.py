@@ -125,3 +125,26 @@ def test_lookup_by_location(spark, root, max_members):
 @pytest.mark.parametrize("prefix", ["file:", "file://"])
 def test_uris_name_the_same_folder(spark, root, prefix):
     assert ids(read_archive(spark, prefix + root)) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_members_are_packed_and_unpacked_in_pieces():
+    import bz2
+    import gzip
+    import io
+    import tracemalloc
+
+    import pandas as pd
+
+    from postquarry.plans.derived import pack_lines
+    from postquarry.sources.archive import unpack
+
+    lines = pd.Series([f"{k:05d}" * 400 for k in range(10_000)])
+    tracemalloc.start()
+    packed = [pack_lines(lines, bzip2) for bzip2 in (False, True)]
+    with unpack(io.BytesIO(packed[0]), "a.json.gz") as whole:
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 20 << 20
+        text = whole.read()
+    assert text == bz2.decompress(packed[1]) == gzip.decompress(packed[0]) == ("\n".join(lines) + "\n").encode()
+    assert gzip.decompress(pack_lines(pd.Series([], dtype=str), False)) == b"\n"
