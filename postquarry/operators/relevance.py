@@ -17,6 +17,8 @@ WORD_BREAK = r"[^\p{L}\p{N}]+"
 INLINE_WORDS = 256
 # Rows per side of one block of the blocked search.
 BLOCK_ROWS = 20_000
+# Cosines that are held at a time; sorting them takes some copies.
+COSINE_BYTES = 4 << 20
 
 
 def tokens(text: Column) -> Column:
@@ -70,7 +72,8 @@ def _top_k(posts: np.ndarray, refs: np.ndarray, k: int) -> tuple[np.ndarray, np.
     Cosines are rounded to 12 digits so that equal vectors tie; ties go to the lower
     index (references are sorted by id).
     """
-    cosine = np.round(posts @ refs.T, 12)
+    cosine = posts @ refs.T
+    np.round(cosine, 12, out=cosine)
     k = min(k, refs.shape[0])
     picked = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
     lowest = np.take_along_axis(cosine, picked, 1).min(axis=1)
@@ -87,7 +90,7 @@ NOBODY = pd.DataFrame({"key": [], "ref_id": [], "label": [], "cosine": [], "rank
 
 def _neighbours(keys: pd.Series, vectors: pd.Series, ids: np.ndarray, labels: np.ndarray, refs: np.ndarray, k: int) -> pd.DataFrame:
     """Long table of neighbours, a slice of rows at a time so the cosine block stays small."""
-    step = max(1, (32 << 20) // (8 * max(1, refs.shape[0])))
+    step = max(1, COSINE_BYTES // (8 * max(1, refs.shape[0])))
     frames = []
     for start in range(0, len(keys), step):
         index, cosine = _top_k(_unit_rows(vectors.iloc[start:start + step]), refs, k)

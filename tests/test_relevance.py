@@ -141,3 +141,21 @@ def test_a_repeated_run_leaves_its_rows_once(spark, tmp_path):
     for run, found in (("a", rows(1, 2, 3)), ("b", rows(4, 5)), ("a", rows(1, 3))):
         K.write_relevant(found, path, "ts", run=run)
     assert sorted(r["post"] for r in S.read_relevance(spark, path).collect()) == ["post 1", "post 3", "post 4", "post 5"]
+
+
+def test_cosines_are_held_a_few_rows_at_a_time():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    refs = rng.normal(size=(20_000, 8))
+    refs /= np.linalg.norm(refs, axis=1, keepdims=True)
+    posts = pd.Series(list(rng.normal(size=(600, 8))))
+    tracemalloc.start()
+    found = R._neighbours(pd.Series(range(600)), posts, np.arange(20_000), np.full(20_000, "h"), refs, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1_800
+    assert peak < 40 << 20
